@@ -100,7 +100,15 @@ TEST_GIVEN, AGE, AGE_UNIT = 162087, 163540, 163541
 DAYS_OLD, MONTHS_OLD = 1072, 1074
 
 
-def _test_date(as_of) -> Column:
+def births(rec: Record) -> DataFrame:
+    """Day of birth of the registered patients."""
+    registered = rec.patient.select(F.col("patient_id").alias("person_id"))
+    return rec.person.join(registered, "person_id", "left_semi").select(
+        F.col("person_id").alias("patient_id"), "birthdate", F.lit(True).alias("_known")
+    )
+
+
+def test_date(as_of) -> Column:
     """Day of the test from the age at the test, when that lies before `as_of`; else the form's day."""
     today = F.lit(as_of).cast("date")
     by_days, by_months = add_days("birthdate", "age"), add_months("birthdate", "age")
@@ -130,15 +138,12 @@ def _grouped_tests(
     )
     forms = context.filter(live("encounter_voided")) if live_forms else context
     forms = forms.select("encounter_id", "location_id", day("encounter_datetime").alias("encounter_date"))
-    born = rec.person.join(
-        rec.patient.select(F.col("patient_id").alias("person_id")), "person_id", "left_semi"
-    ).select(F.col("person_id").alias("patient_id"), "birthdate", F.lit(True).alias("_known"))
     out = (
         tests.withColumn("age", round_int("age"))
         .join(forms, ["encounter_id", "location_id"], "left")
-        .join(born, "patient_id", "left")
+        .join(births(rec), "patient_id", "left")
     )
-    return out.withColumn("test_date", F.when(F.col("_known"), _test_date(as_of))).select(
+    return out.withColumn("test_date", F.when(F.col("_known"), test_date(as_of))).select(
         "patient_id", "encounter_id", "location_id", "encounter_date", "concept_group", "obs_group_id",
         "test_id", "answer_concept_id", "test_result", "age", "age_unit", "test_date", "voided",
     )

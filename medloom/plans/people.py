@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from medloom.functions.scalars import POSITIVE, day, filled, live
 from medloom.operators.eav import Obs, collect_obs
 from medloom.operators.pick import first_and_last
-from medloom.plans.shared import DISPENSED, of_types
+from medloom.plans.shared import DISPENSED
 from medloom.sources.codes import is_any
 from medloom.sources.dimensions import ARV_DRUG_IDS
 from medloom.sources.record import Record
@@ -112,18 +112,20 @@ def _contact(rec: Record) -> DataFrame:
     )
 
 
-def hiv_positive(rec: Record, encounter_context: DataFrame) -> DataFrame:
+def hiv_positive_forms(rec: Record, encounter: DataFrame) -> DataFrame:
+    """Patients with a live HIV form. `encounter` is the source table."""
+    types = rec.codes.encounter("first_hiv", "followup_hiv", "ped_first_hiv", "ped_followup_hiv")
+    return encounter.filter(is_any("encounter_type", types) & live()).select("patient_id").distinct()
+
+
+def hiv_positive(rec: Record) -> DataFrame:
     """Patients with a live HIV form, or a live positive HIV test on a live laboratory form."""
-    codes = rec.codes
-    forms = of_types(
-        encounter_context, codes.encounter("first_hiv", "followup_hiv", "ped_first_hiv", "ped_followup_hiv")
-    ).filter(live("encounter_voided"))
     tests = rec.obs.filter(
         F.col("concept_id").isin(1040, 1042) & (F.col("value_coded") == POSITIVE) & live()
     ).select("encounter_id", F.col("person_id").alias("patient_id"))
-    labs = of_types(encounter_context, codes.encounter("lab")).filter(live("encounter_voided"))
-    tested = labs.join(tests, ["encounter_id", "patient_id"], "left_semi")
-    return forms.select("patient_id").unionByName(tested.select("patient_id")).distinct()
+    labs = rec.encounter.filter(is_any("encounter_type", rec.codes.encounter("lab")) & live())
+    tested = labs.join(tests, ["encounter_id", "patient_id"], "left_semi").select("patient_id")
+    return hiv_positive_forms(rec, rec.encounter).unionByName(tested).distinct()
 
 
 def _visits(rec: Record) -> DataFrame:
@@ -153,14 +155,14 @@ def _arv_start(drug_order: DataFrame) -> DataFrame:
     )
 
 
-def patient(rec: Record, encounter_context: DataFrame, drug_order: DataFrame, location: DataFrame) -> DataFrame:
+def patient(rec: Record, drug_order: DataFrame, location: DataFrame) -> DataFrame:
     """One row per patient. `arv_status` is filled by the status job."""
     on = "patient_id"
     out = _names(rec)
     for part in (
         _identifiers(rec), _address(rec), _attributes(rec), _observed(rec), _contact(rec), _visits(rec),
         _arv_start(drug_order),
-        hiv_positive(rec, encounter_context).withColumn("vih_status", F.lit(1)),
+        hiv_positive(rec).withColumn("vih_status", F.lit(1)),
     ):
         out = out.join(part, on, "left")
     out = out.join(location.select("location_id", "site_code"), "location_id", "left")

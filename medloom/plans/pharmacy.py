@@ -93,20 +93,20 @@ def _void_removed(df: DataFrame, removed: DataFrame) -> DataFrame:
     ).drop("_removed")
 
 
-def patient_prescription(
-    rec: Record, encounter_context: DataFrame, drug_group: DataFrame, drug_order: DataFrame
-) -> DataFrame:
-    """Drugs ordered or handed out. Grain: encounter, location, drug."""
+def ordered_drugs(drug_order: DataFrame) -> DataFrame:
+    """Drugs named in an order or dispensing group, one row per encounter, location and drug.
+
+    Order rows are entered first and dispensing rows after them; the last entry of a key wins.
+    """
     ordered = F.col("header_concept").isNotNull() & F.col("in_group") & F.col("has_order_detail").isNotNull()
     handed = (F.col("header_concept") == DISPENSED) & F.col("in_group") & F.col("has_detail").isNotNull()
-    # Order rows are entered first, dispensing rows after them; the last entry of a key wins.
     by_order, by_hand = F.when(ordered, F.col("obs_id")), F.when(handed, F.col("obs_id"))
 
     def last(c: str) -> Column:
         return F.when(F.max(by_hand).isNotNull(), F.max_by(c, by_hand)).otherwise(F.max_by(c, by_order)).alias(c)
 
     kind = F.when(F.col("header_concept") == DISPENSED, F.lit(YES)).otherwise(F.lit(NO))
-    spine = drug_order.filter(ordered).groupBy(*KEY).agg(
+    return drug_order.filter(ordered).groupBy(*KEY).agg(
         F.min_by("person_id", "obs_id").alias("patient_id"),
         F.coalesce(F.max(by_hand), F.max(by_order)).alias("obs_id"),
         last("obs_group_id"),
@@ -114,6 +114,32 @@ def patient_prescription(
         F.when(F.max(by_hand).isNotNull(), F.lit(YES)).otherwise(F.min_by(kind, by_order)).alias("dispense"),
         F.max_by(day("detail_time"), by_hand).alias("_detail_day"),
     )
+
+
+def handed_drugs(drug_order: DataFrame) -> DataFrame:
+    """Drugs named in a dispensing group, one row per encounter, location and drug."""
+    handed = drug_order.filter(
+        (F.col("header_concept") == DISPENSED) & F.col("in_group") & F.col("has_detail").isNotNull()
+    )
+    return first_and_last(
+        handed.withColumn("order_id", F.col("obs_id")).withColumnRenamed("person_id", "patient_id"),
+        KEY, ["patient_id"], ["obs_id", "obs_group_id", "detail_time", "voided"], "order_id",
+    )
+
+
+def rx_of_drug(drug_order: DataFrame, *more: str) -> DataFrame:
+    """Treatment or prophylaxis, from the order groups that name the drug in the encounter."""
+    keys = ["encounter_id", "drug_id", *more]
+    return drug_order.withColumn("patient_id", F.col("person_id")).groupBy(*keys).agg(
+        _per_drug("rx", [PRESCRIBED], "rx_or_prophy")
+    )
+
+
+def patient_prescription(
+    rec: Record, encounter_context: DataFrame, drug_group: DataFrame, drug_order: DataFrame
+) -> DataFrame:
+    """Drugs ordered or handed out. Grain: encounter, location, drug."""
+    spine = ordered_drugs(drug_order)
     details = drug_order.groupBy("encounter_id", "drug_id").agg(
         _per_drug("rx", [PRESCRIBED], "rx_or_prophy"),
         _per_drug("posology", [PRESCRIBED], "posology"),
@@ -154,19 +180,11 @@ def patient_dispensing(
     patient_prescription: DataFrame,
 ) -> DataFrame:
     """Drugs handed out. Grain: encounter, location, drug."""
-    handed = drug_order.filter(
-        (F.col("header_concept") == DISPENSED) & F.col("in_group") & F.col("has_detail").isNotNull()
-    )
-    spine = first_and_last(
-        handed.withColumn("order_id", F.col("obs_id")).withColumnRenamed("person_id", "patient_id"),
-        KEY, ["patient_id"], ["obs_id", "obs_group_id", "detail_time", "voided"], "order_id",
-    )
+    spine = handed_drugs(drug_order)
     dates = drug_order.groupBy("encounter_id", "drug_id").agg(
         _per_drug("handed_time", None, "_handed")
     )
-    rx = drug_order.groupBy("encounter_id", "drug_id", F.col("person_id").alias("patient_id"), "location_id").agg(
-        _per_drug("rx", [PRESCRIBED], "rx_or_prophy")
-    )
+    rx = rx_of_drug(drug_order, "patient_id", "location_id")
     out = (
         spine.join(dates, ["encounter_id", "drug_id"], "left")
         .join(rx, ["encounter_id", "drug_id", "patient_id", "location_id"], "left")

@@ -52,9 +52,9 @@ def _patients_with(reasons: DataFrame, *codes: int) -> DataFrame:
     return reasons.filter(F.col("reason").isin(*codes)).select("patient_id").distinct()
 
 
-def _stop_answers(rec: Record, context: DataFrame) -> DataFrame:
-    """Reasons given on live discontinuation forms, with the status they mean for a treated patient."""
-    forms = of_types(_live_forms(context), rec.codes.encounter("discontinuation"))
+def _stop_answers(rec: Record, context: DataFrame, any_form: bool = False) -> DataFrame:
+    """Reasons given on discontinuation forms."""
+    forms = of_types(context if any_form else _live_forms(context), rec.codes.encounter("discontinuation"))
     reasons = rec.obs.filter(
         (F.col("concept_id") == STOP_REASON) & F.col("value_coded").isin(DIED, TRANSFERRED, STOPPED) & not_voided()
     ).select("encounter_id", F.col("person_id").alias("patient_id"), F.col("value_coded").alias("reason"))
@@ -81,14 +81,17 @@ def left_on_treatment(rec: Record, context: DataFrame, on_arv: DataFrame) -> Dat
 
 
 def left_before_treatment(
-    rec: Record, context: DataFrame, patient: DataFrame, on_arv: DataFrame, live_patients_only: bool = True
+    rec: Record, context: DataFrame, patient: DataFrame, on_arv: DataFrame, any_state: bool = False
 ) -> DataFrame:
-    """Statuses 4 and 5: the discontinuation form belongs to the patient's latest visit day."""
+    """Statuses 4 and 5: the discontinuation form belongs to the patient's latest visit day.
+
+    `any_state` also takes voided forms and voided patients, as the incremental run does.
+    """
     people = patient.filter(F.col("vih_status") == 1)
-    if live_patients_only:
+    if not any_state:
         people = people.filter(live())
     rows = (
-        _stop_answers(rec, context)
+        _stop_answers(rec, context, any_state)
         .filter(F.col("in_visit") & F.col("reason").isin(DIED, TRANSFERRED))
         .join(_latest_visits(rec), "visit_patient_id")
         .filter(day("visit_date") == F.col("_latest"))
@@ -114,11 +117,13 @@ def refill(
     as_of,
     require_on_arv: bool = True,
     require_not_voided: bool = True,
+    any_state: bool = False,
 ) -> DataFrame:
     """Statuses 6, 8 and 9 from the date of the next refill.
 
     `require_on_arv` applies to 6 and 9 (8 always asks for it); `require_not_voided` to the dispensing
-    row. The incremental run turns both off. 6 and 9 ask for an antiretroviral, 8 does not.
+    row; `any_state` also takes voided forms. The incremental run switches all three. 6 and 9 ask for an
+    antiretroviral, 8 does not.
     """
     types = rec.codes.encounter("dispensing", "ped_dispensing")
     due = dispensing.filter(not_voided() & (F.col("arv_drug") == YES)).groupBy("patient_id").agg(
@@ -126,7 +131,7 @@ def refill(
     )
     treated = on_arv.select("patient_id").distinct()
     forms = (
-        of_types(_live_forms(context), types)
+        of_types(context if any_state else _live_forms(context), types)
         .join(_patients_with(reasons, DIED, STOPPED, TRANSFERRED), "patient_id", "left_anti")
         .join(treated.withColumn("_form_on_arv", F.lit(True)), "patient_id", "left")
         .groupBy("visit_id")
@@ -156,18 +161,19 @@ def refill(
 
 
 def before_treatment(
-    rec: Record, context: DataFrame, patient: DataFrame, on_arv: DataFrame, reasons: DataFrame, as_of
+    rec: Record, context: DataFrame, patient: DataFrame, on_arv: DataFrame, reasons: DataFrame, as_of,
+    any_state: bool = False,
 ) -> DataFrame:
-    """Statuses 10, 7 and 11 from the forms of the latest visit day."""
+    """Statuses 10, 7 and 11 from the forms of the latest visit day (`any_state`: voided ones too)."""
     codes = rec.codes
     first = codes.encounter("first_hiv", "ped_first_hiv")
     follow = codes.encounter("followup_hiv", "ped_followup_hiv", "dispensing", "ped_dispensing", "lab")
     people = patient.filter(F.col("vih_status") == 1).select(F.col("patient_id").alias("visit_patient_id")).join(
         on_arv.select(F.col("patient_id").alias("visit_patient_id")), "visit_patient_id", "left_anti"
     )
+    forms = context if any_state else _live_forms(context).filter(not_voided("visit_voided"))
     rows = (
-        _live_forms(context)
-        .filter(F.col("in_visit") & not_voided("visit_voided"))
+        forms.filter("in_visit")
         .join(_latest_visits(rec), "visit_patient_id")
         .filter(day("visit_date") == F.col("_latest"))
         .join(people, "visit_patient_id", "left_semi")
@@ -209,17 +215,24 @@ def statuses(
     as_of,
     require_on_arv: bool = True,
     require_not_voided: bool = True,
-    live_patients_only: bool = True,
+    any_state: bool = False,
+    new_obs: DataFrame | None = None,
 ) -> DataFrame:
-    """Every status that holds on `as_of`, without exposed infants. Grain: patient, status."""
+    """Every status that holds on `as_of`, without exposed infants. Grain: patient, status.
+
+    `new_obs`: observations that statuses 1, 2 and 3 read instead of the whole record.
+    """
+    recent = rec if new_obs is None else rec.replace(obs=new_obs)
     parts = [
-        left_before_treatment(rec, encounter_context, patient, patient_on_arv, live_patients_only),
+        left_before_treatment(rec, encounter_context, patient, patient_on_arv, any_state),
         refill(
             rec, encounter_context, patient, patient_dispensing, patient_on_arv, discontinuation_reason, as_of,
-            require_on_arv, require_not_voided,
+            require_on_arv, require_not_voided, any_state,
+        ),
+        before_treatment(
+            rec, encounter_context, patient, patient_on_arv, discontinuation_reason, as_of, any_state
         ),
-        before_treatment(rec, encounter_context, patient, patient_on_arv, discontinuation_reason, as_of),
-        left_on_treatment(rec, encounter_context, patient_on_arv),
+        left_on_treatment(recent, encounter_context, patient_on_arv),
     ]
     rows = reduce(DataFrame.unionByName, [p.select(*OUT) for p in parts])
     rows = delete_matching(rows, exposed_infants, ["patient_id"])
@@ -359,25 +372,27 @@ def exposed_infants(
     patient_dispensing: DataFrame,
     patient_laboratory: DataFrame,
     as_of,
-    latest_arv_visit: bool = False,
+    incremental: bool = False,
 ) -> DataFrame:
     """Infants exposed to HIV whose own infection is not established.
 
     Conditions 1, 3 and 4 are added, infected children removed, then seroreversions (5) added.
-    `latest_arv_visit`: look for prophylaxis at the latest antiretroviral visit, as the increment does.
+    `incremental` follows the incremental run: prophylaxis is looked for at the latest antiretroviral
+    visit, and confirmed infections and seroreversions also count on voided forms.
     """
     forms = _live_forms(encounter_context)
+    late_forms = encounter_context if incremental else forms
     paediatric = ["ped_first_hiv", "ped_followup_hiv"]
     candidates = (
         _negative_pcr(rec, forms)
         .unionByName(_ticked(rec, forms, paediatric, 1401, 1405, 3))
-        .unionByName(_prophylaxis(patient_dispensing, latest_arv_visit))
+        .unionByName(_prophylaxis(patient_dispensing, incremental))
     )
     infected = (
         _positive_pcr(rec, forms)
         .unionByName(_positive_test(patient_laboratory, patient, as_of))
-        .unionByName(_ticked(rec, forms, paediatric, 1401, 163717, 0).select("patient_id"))
+        .unionByName(_ticked(rec, late_forms, paediatric, 1401, 163717, 0).select("patient_id"))
         .distinct()
     )
-    reverted = _ticked(rec, forms, ["discontinuation"], STOP_DETAIL, 165439, 5)
+    reverted = _ticked(rec, late_forms, ["discontinuation"], STOP_DETAIL, 165439, 5)
     return delete_matching(candidates, infected, ["patient_id"]).unionByName(reverted).select(*INFANT)

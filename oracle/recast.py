@@ -118,7 +118,7 @@ def _template() -> list[tuple]:
     hiv.ask(1667, (127750, 159, 5622, 162591), every=8)
     hiv.ask(5314, number=(1, 5), every=5)
     hiv.group(C["isoniazid_group"], (1282, dict(codes=(78280,))), (159367, dict(codes=(1065, 1065, 1066))), every=2)
-    hiv.group(C["rifampicin_group"], (1282, dict(codes=(767,))), (159367, dict(codes=(1065, 1066))), every=2)
+    hiv.group(C["rifampicin_group"], (1282, dict(codes=(767,))), (159367, dict(codes=(1065, 1066, 1065))), every=1)
     for group in ("pcr_group_1", "pcr_group_3"):
         hiv.group(
             C[group], (162087, dict(codes=(1030, 1))), (1030, dict(codes=(664, 703, 1138, 5))),
@@ -171,7 +171,7 @@ def _template() -> list[tuple]:
 
     primary = _Form(*PRIMARY)
     primary.ask(5089, number=(3, 80), every=2)
-    primary.ask(5090, number=(50, 130), every=2)
+    primary.ask(5090, number=(50, 130), every=1)
     primary.ask(159614, (460, 159799, 163740, 122496, 159937), every=2)
     primary.ask(163515, (1115, 164131, 123815, 1), every=2)
     primary.ask(1343, number=(10.5, 20), every=3)
@@ -191,6 +191,7 @@ def _template() -> list[tuple]:
         primary.group(
             1421, (984, dict(codes=vaccines)), (1418, dict(number=(dose, 1))), (1410, dict(date=(-30, 30))), every=1
         )
+    primary.group(1421, (984, dict(codes=(886, 82215))), (1418, dict(number=(0, 9))), (1410, dict(date=(-30, 30))), every=2)
     primary.ask(1282, (73300, 82521, 83023, 5843), every=2)
     primary.ask(1271, (1366, 1643, 1), every=2)
     primary.ask(1366, (1365, 664, 1364), every=2)
@@ -226,7 +227,7 @@ def _template() -> list[tuple]:
     obgyn.ask(163732, (1065,), every=3)
     obgyn.ask(1427, date=(-90, 80), every=3)
     obgyn.ask(5085, number=(110, 30), every=2)
-    obgyn.ask(5086, number=(60, 40), every=2)
+    obgyn.ask(5086, number=(60, 40), every=1)
     obgyn.group(
         159947, (1284, dict(codes=(117399, 142473, 134612))), (159394, dict(codes=(159393, 159392))),
         (159946, dict(codes=(159943, 159944))),
@@ -348,7 +349,8 @@ TABLES: dict[str, str] = {
                CASE WHEN num0 IS NOT NULL THEN CAST(num0 AS DOUBLE) + CAST((k * 7) % numn AS DOUBLE) END AS value_numeric,
                CASE WHEN txt IS NOT NULL THEN txt END AS value_text,
                CASE WHEN k % 4 = 0 THEN 'note' WHEN k % 4 = 1 THEN '' END AS comments,
-               d + INTERVAL '10' HOUR AS date_created,
+               CASE WHEN d >= TIMESTAMP_AS_OF - INTERVAL '90' DAY AND k % 4 <> 0 THEN TIMESTAMP_AS_OF + INTERVAL '8' HOUR
+                    ELSE d + INTERVAL '10' HOUR END AS date_created,
                CASE WHEN (k + slot) % 29 = 0 THEN 1 WHEN (k + slot) % 83 = 0 THEN NULL ELSE 0 END AS voided
         FROM encounter JOIN form_template ON encounter_type = form AND (form_number + slot) % cyc = pos""",
     "form_template": f"""
