@@ -79,10 +79,15 @@ def filled(c: str | Column) -> Column:
 
 
 def bmi(weight_kg: str | Column, height_cm: str | Column, digits: int | None = None) -> Column:
-    """Body mass index; NULL when the height is zero or unknown."""
-    metres = _col(height_cm) / F.lit(100.0)
-    index = F.try_divide(_col(weight_kg).cast("double"), metres * metres)
-    return index if digits is None else F.round(index, digits)
+    """Body mass index; NULL when the height is zero or unknown.
+
+    Rounded values divide by the square of the metres, unrounded ones by the square of the centimetres
+    over 10,000, as the two reports do; the two may differ in the last bits.
+    """
+    weight, height = _col(weight_kg).cast("double"), _col(height_cm).cast("double")
+    if digits is None:
+        return F.try_divide(weight, height * height / 10000)
+    return F.round(F.try_divide(weight, height / 100 * height / 100), digits)
 
 
 def add_days(d: str | Column, n: str | Column) -> Column:

@@ -283,7 +283,7 @@ v AS (SELECT visit_id, {last('value_numeric', 'concept_id = 5089')} AS w, {last(
    FROM o GROUP BY 1),
 f AS (SELECT encounter_id, coalesce({flag('concept_id IN (5314, 1343)')}, 0) AS nutr,
    coalesce({flag('(concept_id = 160592 AND value_coded = 113489) OR (concept_id = 160749 AND value_coded = 1065)')}, 0) AS act FROM o GROUP BY 1)
-SELECT vp AS patient_id, x.encounter_id, vl AS location_id, x.visit_id, vd::DATE AS visit_date, encounter_type, w / ((h / 100.0) * (h / 100.0)) AS patient_bmi,
+SELECT vp AS patient_id, x.encounter_id, vl AS location_id, x.visit_id, vd::DATE AS visit_date, encounter_type, w / (h * h / 10000) AS patient_bmi,
   CAST(round(adh) AS INT) AS adherence_evaluation, fp AS family_planning_method_used, tb AS evaluated_of_tb, nutr AS nutritional_assessment_completed,
   act AS is_active_tb, {years('birthdate', 'vd::DATE')} AS age_in_years, vvoid AS voided
 FROM ctx x JOIN f USING (encounter_id) JOIN v ON v.visit_id = x.visit_id LEFT JOIN person p ON p.person_id = x.patient_id"""
@@ -352,7 +352,7 @@ j AS (SELECT {_FORM}, n.voided, f.* EXCLUDE (encounter_id), f.encounter_id IS NO
    WHERE n.encounter_type IN ({e('adult_initial', 'adult_followup', 'ped_initial', 'ped_followup')})),
 a AS (SELECT *, CASE WHEN answered THEN {months('b', 'visit_date')} END AS m FROM j)
 SELECT patient_id, encounter_type_id, encounter_id, location_id, visit_id, visit_date, CAST(trunc(m / 12) AS INT) AS age_at_visit_years, m AS age_at_visit_months,
-  weight, height, CASE WHEN trunc(m / 12) >= 20 AND voided = 0 THEN round(weight / ((height / 100.0) * (height / 100.0)), 1) END AS bmi, edema, weight_for_height, voided
+  weight, height, CASE WHEN trunc(m / 12) >= 20 AND voided = 0 THEN round(weight / (height / 100 * height / 100), 1) END AS bmi, edema, weight_for_height, voided
 FROM a"""
 Q["patient_ob_gyn"] = f"""
 WITH f AS (SELECT encounter_id, CAST(round({last('value_numeric', 'concept_id = 1343')}) AS INT) AS muac, {flag('concept_id = 160288 AND value_coded = 1622')} AS pregnant,
