@@ -2,58 +2,78 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from medloom.functions.scalars import day
 
+Target = tuple[DataFrame, str | Column, str | None]
 
-def match_next(
-    left: DataFrame,
-    right: DataFrame,
-    on: str,
-    left_date: str,
-    right_date: str | Column,
-    inclusive: bool = False,
-    payload: str | None = None,
-    name: str = "next_date",
+
+def match_next_each(
+    left: DataFrame, on: str, left_date: str, targets: dict[str, Target], inclusive: bool = False
 ) -> DataFrame:
-    """For every left row, the earliest right day after (or on) its own day, as `name`.
+    """For every left row and every target, the earliest target day after (or on) the row's own day.
+
+    A target is (rows, date, payload): the day found becomes a column of the target's name and the
+    smallest payload of that day (when a payload is named) a column of the payload's name.
 
-    `payload`: also bring the smallest value of that right column on the matched day.
     Both sides are first reduced to distinct days per key, so a key holds at most one row per calendar
-    day whatever the number of events; the window runs over those days only.
+    day and target whatever the number of events. One window over those days serves all targets. `left`
+    is read twice: hand over a stored table when it is expensive to compute.
     """
-    right_date = F.col(right_date) if isinstance(right_date, str) else right_date
-    value = F.col(payload) if payload else F.lit(None).cast("int")
-    targets = (
-        right.select(on, day(right_date).alias("_day"), value.alias("_payload"))
-        .filter(F.col("_day").isNotNull())
-        .groupBy(on, "_day")
-        .agg(F.min("_payload").alias("_payload"))
-        .select(on, "_day", F.struct("_day", "_payload").alias("_hit"), F.lit(False).alias("_ask"))
-    )
     asks = (
         left.select(on, day(left_date).alias("_day"))
         .filter(F.col("_day").isNotNull())
         .distinct()
-        .select(on, "_day", F.lit(None).cast(targets.schema["_hit"].dataType).alias("_hit"), F.lit(True).alias("_ask"))
+        .withColumns({"_target": F.lit(None).cast("string"), "_payload": F.lit(None).cast("long")})
     )
+    parts = [asks]
+    for name, (rows, date, payload) in targets.items():
+        when = day(date)
+        value = F.col(payload).cast("long") if payload else F.lit(None).cast("long")
+        parts.append(
+            rows.select(on, when.alias("_day"), value.alias("_payload"))
+            .filter(F.col("_day").isNotNull())
+            .groupBy(on, "_day")
+            .agg(F.min("_payload").alias("_payload"))
+            .withColumn("_target", F.lit(name))
+        )
     # Walking the days backwards lets the frame only grow, so the minimum is kept incrementally.
-    both = asks.unionByName(targets).withColumn("_back", -F.unix_date("_day"))
+    both = reduce(DataFrame.unionByName, parts).withColumn("_back", -F.unix_date("_day"))
     ahead = (
         Window.partitionBy(on)
         .orderBy("_back")
         .rangeBetween(Window.unboundedPreceding, Window.currentRow if inclusive else -1)
     )
+    hit = F.struct("_day", "_payload")
     found = (
-        both.withColumn("_next", F.min("_hit").over(ahead))
-        .filter("_ask")
-        .select(on, F.col("_day").alias("_left_day"), "_next")
+        both.withColumns({f"_{n}": F.min(F.when(F.col("_target") == n, hit)).over(ahead) for n in targets})
+        .filter(F.col("_target").isNull())
+        .select(on, F.col("_day").alias("_left_day"), *[f"_{n}" for n in targets])
     )
-    keyed = left.withColumn("_left_day", day(left_date))
-    out = keyed.join(found, [on, "_left_day"], "left")
-    out = out.withColumn(name, F.col("_next._day"))
-    if payload:
-        out = out.withColumn(payload, F.col("_next._payload"))
-    return out.drop("_left_day", "_next")
+    out = left.withColumn("_left_day", day(left_date)).join(found, [on, "_left_day"], "left")
+    for name, (rows, _, payload) in targets.items():
+        out = out.withColumn(name, F.col(f"_{name}._day"))
+        if payload:
+            out = out.withColumn(payload, F.col(f"_{name}._payload").cast(rows.schema[payload].dataType))
+    return out.drop("_left_day", *[f"_{n}" for n in targets])
+
+
+def match_next(
+    left: DataFrame,
+    right: DataFrame,
+    on: str,
+    left_date: str,
+    right_date: str | Column,
+    inclusive: bool = False,
+    payload: str | None = None,
+    name: str = "next_date",
+) -> DataFrame:
+    """For every left row, the earliest right day after (or on) its own day, as `name`.
+
+    `payload`: also bring the smallest value of that (numeric) right column on the matched day.
+    """
+    return match_next_each(left, on, left_date, {name: (right, right_date, payload)}, inclusive)

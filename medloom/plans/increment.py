@@ -100,13 +100,13 @@ def dispensing_of_day(drugs: DataFrame, obs: DataFrame, encounter_context: DataF
 def prescription_of_day(drugs: DataFrame, encounter_context: DataFrame) -> DataFrame:
     """Drugs ordered or handed out today. Grain: encounter, location, drug."""
     out = (
-        ph.ordered_drugs(drugs)
+        ph.ordered_drug(drugs)
         .join(shared.visit_of(encounter_context), "encounter_id", "left")
         .join(ph.rx_of_drug(drugs), ["encounter_id", "drug_id"], "left")
     )
     return out.select(
         "patient_id", "encounter_id", "location_id", "visit_id", "visit_date", "drug_id",
-        F.col("_detail_day").alias("dispensation_date"), ph.is_arv().alias("arv_drug"), "dispense", "rx_or_prophy",
+        F.col("detail_day").alias("dispensation_date"), ph.is_arv().alias("arv_drug"), "dispense", "rx_or_prophy",
         "voided",
     )
 
@@ -126,7 +126,7 @@ def laboratory_of_day(rec: Record, obs: DataFrame, laboratory: DataFrame, encoun
     visits = encounter_context.filter(F.col("in_visit") & live("visit_voided")).select(
         "encounter_id", "visit_id", "visit_date"
     )
-    orders = lab.laboratory_orders(today, encounter_context, with_cd4=False).join(visits, "encounter_id", "left")
+    orders = lab.laboratory_order(today, encounter_context, with_cd4=False).join(visits, "encounter_id", "left")
     orders = orders.withColumns(
         {
             "test_done": F.lit(0), "test_result": F.lit(None).cast("string"),
@@ -174,12 +174,12 @@ def infants_of_day(rec, encounter_context, patient, dispensing, laboratory, as_o
     return st.exposed_infants(rec, encounter_context, patient, dispensing, laboratory, as_of, incremental=True)
 
 
-def statuses_of_day(
+def status_rows_of_day(
     rec: Record, obs: DataFrame, encounter_context: DataFrame, patient: DataFrame, dispensing_today: DataFrame,
     on_arv: DataFrame, reasons: DataFrame, infants: DataFrame, as_of,
 ) -> DataFrame:
     """Statuses seen from today's dispensations and discontinuation forms."""
-    return st.statuses(
+    return st.status_rows(
         rec, encounter_context, patient, dispensing_today, on_arv, reasons, infants, as_of,
         require_on_arv=False, require_not_voided=False, any_state=True, new_obs=obs,
     )
@@ -230,13 +230,14 @@ class Day:
         infants = self._put(
             "infants_of_day", infants_of_day(rec, context, patient, read("patient_dispensing"), tests, as_of)
         )
-        fresh = self._put(
-            "statuses_of_day",
-            statuses_of_day(
-                rec, obs, context, patient, dispensing, read("patient_on_arv"), read("discontinuation_reason"),
-                infants, as_of,
+        reasons = read("discontinuation_reason")
+        rows = self._put(
+            "status_rows_of_day",
+            status_rows_of_day(
+                rec, obs, context, patient, dispensing, read("patient_on_arv"), reasons, infants, as_of
             ),
         )
+        fresh = self._put("statuses_of_day", st.statuses(rows, reasons, as_of))
         history = self._put("statuses", st.merge_day_status(read("statuses"), fresh))
         current = self._put("current_status", st.current_status(history))
         regimens = self._put("regimens", regimens_of_day(prescription, patient, read("regimens")))

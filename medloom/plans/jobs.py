@@ -52,7 +52,7 @@ JOBS: dict[str, Callable] = {
     "prescription_of_day": increment.prescription_of_day,
     "laboratory_of_day": increment.laboratory_of_day,
     "virology_of_day": increment.virology_of_day,
-    "statuses_of_day": increment.statuses_of_day,
+    "status_rows_of_day": increment.status_rows_of_day,
     "regimens_of_day": increment.regimens_of_day,
     "diagnosis": diagnosis,
     "report_indicators": report_indicators,

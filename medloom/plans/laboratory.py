@@ -18,7 +18,7 @@ VIRAL_LOAD = (856, 1305)
 KEY = ["patient_id", "encounter_id", "test_id"]
 
 
-def laboratory_orders(rec: Record, encounter_context: DataFrame, with_cd4: bool = True) -> DataFrame:
+def laboratory_order(rec: Record, encounter_context: DataFrame, with_cd4: bool = True) -> DataFrame:
     """Ordered tests, one row per patient, encounter and test."""
     codes = rec.codes
     lab = of_types(encounter_context, codes.encounter("lab")).select("encounter_id")
@@ -37,7 +37,10 @@ def laboratory_orders(rec: Record, encounter_context: DataFrame, with_cd4: bool
 
 
 def laboratory_results(rec: Record, orders: DataFrame, skip_zero: bool = False) -> DataFrame:
-    """Latest live result of the ordered tests, by encounter and test."""
+    """Latest live result of the ordered tests, by encounter and test.
+
+    Only results of ordered tests are aggregated; stored orders are broadcast while they are small.
+    """
     value = typed_value("value_coded", "value_numeric", "value_text", skip_zero)
     rows = rec.obs.filter(live()).withColumnRenamed("concept_id", "test_id")
     if not skip_zero:
@@ -55,10 +58,9 @@ def laboratory_results(rec: Record, orders: DataFrame, skip_zero: bool = False)
     ).withColumn("test_done", F.lit(1))
 
 
-def patient_laboratory(rec: Record, encounter_context: DataFrame) -> DataFrame:
+def patient_laboratory(rec: Record, encounter_context: DataFrame, laboratory_order: DataFrame) -> DataFrame:
     """Ordered tests with their results. Grain: patient, encounter, test."""
     codes = rec.codes
-    orders = laboratory_orders(rec, encounter_context)
     destination = collect_obs(
         rec.obs, "encounter_id", {"order_destination": Obs((160632,), value="value_text", pick="latest")}
     )
@@ -80,7 +82,7 @@ def patient_laboratory(rec: Record, encounter_context: DataFrame) -> DataFrame:
         "encounter_id", "visit_id", "visit_date", F.col("visit_created").alias("creation_date")
     )
     out = (
-        orders.join(laboratory_results(rec, orders), ["encounter_id", "test_id"], "left")
+        laboratory_order.join(laboratory_results(rec, laboratory_order), ["encounter_id", "test_id"], "left")
         .join(visits, "encounter_id", "left")
         .join(provider(rec), "encounter_id", "left")
         .join(destination, "encounter_id", "left")

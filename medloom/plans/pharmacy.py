@@ -66,19 +66,20 @@ def regimen_line(rec: Record) -> DataFrame:
     )
 
 
-def emptied_groups(rec: Record, ordered: DataFrame) -> DataFrame:
-    """Groups of ordered drugs that have at most one live observation left: the drug was removed.
-
-    `ordered` has one row per ordered drug with encounter_id and obs_group_id.
-    """
-    orders = ordered.groupBy("encounter_id", "obs_group_id").agg(F.count("*").alias("_orders"))
+def removed_group(rec: Record, ordered_drug: DataFrame) -> DataFrame:
+    """Groups of ordered drugs that have at most one live observation left: the drug was removed."""
+    keys = ["encounter_id", "obs_group_id"]
+    orders = ordered_drug.groupBy(*keys).agg(F.count("*").alias("_orders"))
+    # Only groups that hold an ordered drug matter; the stored spine is broadcast while it is small.
     members = (
         rec.obs.filter(live() & F.col("obs_group_id").isNotNull())
-        .groupBy("encounter_id", "obs_group_id")
+        .select(*keys)
+        .join(ordered_drug.select(*keys), keys, "left_semi")
+        .groupBy(*keys)
         .agg(F.count("*").alias("_members"))
     )
     return (
-        orders.join(members, ["encounter_id", "obs_group_id"])
+        orders.join(members, keys)
         .groupBy("obs_group_id")
         .agg(F.sum(F.col("_orders") * F.col("_members")).alias("n"))
         .filter("n <= 1")
@@ -93,7 +94,7 @@ def _void_removed(df: DataFrame, removed: DataFrame) -> DataFrame:
     ).drop("_removed")
 
 
-def ordered_drugs(drug_order: DataFrame) -> DataFrame:
+def ordered_drug(drug_order: DataFrame) -> DataFrame:
     """Drugs named in an order or dispensing group, one row per encounter, location and drug.
 
     Order rows are entered first and dispensing rows after them; the last entry of a key wins.
@@ -112,7 +113,7 @@ def ordered_drugs(drug_order: DataFrame) -> DataFrame:
         last("obs_group_id"),
         last("voided"),
         F.when(F.max(by_hand).isNotNull(), F.lit(YES)).otherwise(F.min_by(kind, by_order)).alias("dispense"),
-        F.max_by(day("detail_time"), by_hand).alias("_detail_day"),
+        F.max_by(day("detail_time"), by_hand).alias("detail_day"),
     )
 
 
@@ -136,10 +137,10 @@ def rx_of_drug(drug_order: DataFrame, *more: str) -> DataFrame:
 
 
 def patient_prescription(
-    rec: Record, encounter_context: DataFrame, drug_group: DataFrame, drug_order: DataFrame
+    rec: Record, encounter_context: DataFrame, drug_group: DataFrame, drug_order: DataFrame,
+    ordered_drug: DataFrame, removed_group: DataFrame,
 ) -> DataFrame:
     """Drugs ordered or handed out. Grain: encounter, location, drug."""
-    spine = ordered_drugs(drug_order)
     details = drug_order.groupBy("encounter_id", "drug_id").agg(
         _per_drug("rx", [PRESCRIBED], "rx_or_prophy"),
         _per_drug("posology", [PRESCRIBED], "posology"),
@@ -149,7 +150,7 @@ def patient_prescription(
         _per_drug("handed_time", [DISPENSED], "_handed"),
     )
     out = (
-        spine.join(details, ["encounter_id", "drug_id"], "left")
+        ordered_drug.join(details, ["encounter_id", "drug_id"], "left")
         .join(_encounter_facts(rec), "encounter_id", "left")
         .join(_dispensed_amounts(drug_group), "encounter_id", "left")
         .join(provider(rec, live_only=False), "encounter_id", "left")
@@ -158,13 +159,13 @@ def patient_prescription(
     out = out.withColumns(
         {
             "arv_drug": is_arv(),
-            "dispensation_date": F.coalesce(day("_handed"), F.col("_detail_day")),
+            "dispensation_date": F.coalesce(day("_handed"), F.col("detail_day")),
             "dispensation_location": F.when(F.col("community") == 1, F.lit(COMMUNITY)).otherwise(F.lit(0)),
             "number_day_dispense": round_int("_days"),
             "pills_amount_dispense": F.col("_pills"),
         }
     )
-    return _void_removed(out, emptied_groups(rec, spine)).select(
+    return _void_removed(out, removed_group).select(
         "patient_id", "encounter_id", "location_id", "visit_id", "visit_date", "obs_id", "obs_group_id",
         "provider_id", "drug_id", "dispensation_date", "next_dispensation_date", "dispensation_location",
         "arv_drug", "dispense", "rx_or_prophy", "posology", "posology_alt", "posology_alt_disp", "number_day",
@@ -177,7 +178,7 @@ def patient_dispensing(
     encounter_context: DataFrame,
     drug_group: DataFrame,
     drug_order: DataFrame,
-    patient_prescription: DataFrame,
+    removed_group: DataFrame,
 ) -> DataFrame:
     """Drugs handed out. Grain: encounter, location, drug."""
     spine = handed_drugs(drug_order)
@@ -203,7 +204,7 @@ def patient_dispensing(
             "pills_amount": F.col("_pills"),
         }
     ).withColumn("treatment_regime_lines", F.when(F.col("arv_drug") == YES, F.col("treatment_regime_lines")))
-    return _void_removed(out, emptied_groups(rec, patient_prescription)).select(
+    return _void_removed(out, removed_group).select(
         "patient_id", "encounter_id", "location_id", "visit_id", "visit_date", "obs_id", "obs_group_id",
         "provider_id", "drug_id", "dose_day", "pills_amount", "dispensation_date", "next_dispensation_date",
         "dispensation_location", "arv_drug", "ddp", "rx_or_prophy", "treatment_regime_lines", "voided",

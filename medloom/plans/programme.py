@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from medloom.functions.scalars import POSITIVE, YES, add_months, day, labels, live, not_voided, round_int, whole_units
 from medloom.operators.eav import Obs, collect_obs, sibling_groups, with_header
-from medloom.operators.match import match_next
+from medloom.operators.match import match_next_each
 from medloom.operators.pick import first_and_last, latest_except_overall
 from medloom.plans.clinical import KEY_POPULATIONS, PLANNING, SYMPTOM
 from medloom.plans.shared import of_types
@@ -138,17 +138,20 @@ def _pregnancy_signs(rec: Record, context: DataFrame) -> DataFrame:
     )
 
 
-def patient_pregnancy(rec: Record, encounter_context: DataFrame, as_of) -> DataFrame:
-    """Pregnancies. Grain: patient, encounter.
-
-    The first source that reports a pregnancy fixes its start. An open end takes, in this order: the
-    next due date, the next delivery form, the last period plus one year less three months plus seven
-    days, and nine months after a start at least nine months old.
-    """
+def pregnancy_start(rec: Record, encounter_context: DataFrame) -> DataFrame:
+    """Pregnancies as first reported. The first source that reports one fixes its start."""
     signs = _pregnancy_signs(rec, encounter_context)
-    spine = first_and_last(
+    return first_and_last(
         signs, ["patient_id", "encounter_id"], ["start_date", "end_date"], ["voided"], F.struct("step", "obs_id")
     )
+
+
+def patient_pregnancy(rec: Record, encounter_context: DataFrame, pregnancy_start: DataFrame, as_of) -> DataFrame:
+    """Pregnancies. Grain: patient, encounter.
+
+    An open end takes, in this order: the next due date, the next delivery form, the last period plus
+    one year less three months plus seven days, and nine months after a start at least nine months old.
+    """
     obs = rec.obs.withColumnRenamed("person_id", "patient_id")
     due = obs.filter((F.col("concept_id") == DUE_DATE) & live())
     births = of_types(encounter_context, rec.codes.encounter("labor_delivery")).filter(live("encounter_voided"))
@@ -160,14 +163,19 @@ def patient_pregnancy(rec: Record, encounter_context: DataFrame, as_of) -> DataF
     seen = encounter_context.groupBy("patient_id").agg(F.max(day("encounter_datetime")).alias("_seen"))
     last_cycle = periods.groupBy("patient_id").agg(F.max("_cycle_end").alias("_last_cycle"))
 
-    out = match_next(spine, due, "patient_id", "start_date", "value_datetime", name="_due")
-    out = match_next(out, births, "patient_id", "start_date", "encounter_datetime", name="_birth")
-    out = match_next(out, periods, "patient_id", "start_date", "_cycle_end", name="_cycle")
+    out = match_next_each(
+        pregnancy_start, "patient_id", "start_date",
+        {
+            "due": (due, "value_datetime", None),
+            "birth": (births, "encounter_datetime", None),
+            "cycle": (periods, "_cycle_end", None),
+        },
+    )
     out = out.join(seen, "patient_id", "left").join(last_cycle, "patient_id", "left")
-    cycle = F.when(F.col("start_date") <= F.col("_seen"), F.coalesce("_cycle", "_last_cycle"))
+    cycle = F.when(F.col("start_date") <= F.col("_seen"), F.coalesce("cycle", "_last_cycle"))
     old = whole_units("MONTH", "start_date", F.lit(as_of).cast("date")) >= 9
     full_term = F.when(old, add_months("start_date", 9))
-    return out.withColumn("end_date", F.coalesce("end_date", "_due", "_birth", cycle, full_term)).select(
+    return out.withColumn("end_date", F.coalesce("end_date", "due", "birth", cycle, full_term)).select(
         "patient_id", "encounter_id", "start_date", "end_date", "voided"
     )
 

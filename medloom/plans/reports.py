@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import inspect
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 
@@ -61,18 +62,19 @@ BUILDERS: dict[str, Callable] = {
     for f in (
         shared.encounter_context, shared.drug_group, shared.drug_order,
         people.location, people.patient, people.patient_visit,
-        pharmacy.patient_prescription, pharmacy.patient_dispensing, pharmacy.patient_on_arv,
-        laboratory.patient_laboratory, laboratory.virological_tests, laboratory.serological_tests,
+        pharmacy.ordered_drug, pharmacy.removed_group, pharmacy.patient_prescription, pharmacy.patient_dispensing, pharmacy.patient_on_arv,
+        laboratory.laboratory_order, laboratory.patient_laboratory, laboratory.virological_tests, laboratory.serological_tests,
         laboratory.patient_pcr,
         clinical.health_qual_patient_visit, clinical.patient_tb_diagnosis, clinical.patient_nutrition,
         clinical.patient_ob_gyn, clinical.patient_imagerie, clinical.patient_malaria, clinical.visit_type,
         clinical.patient_delivery, clinical.pediatric_hiv_visit, clinical.patient_menstruation,
         clinical.vih_risk_factor, clinical.key_populations, clinical.family_planning,
-        programme.stopping_reason, programme.discontinuation_reason, programme.patient_pregnancy,
+        programme.stopping_reason, programme.discontinuation_reason, programme.pregnancy_start,
+        programme.patient_pregnancy,
         programme.vaccination, programme.patient_on_art,
-        surveillance.patient_diagnosis, surveillance.indicators, surveillance.weekly_indicators,
+        surveillance.diagnosis_answer, surveillance.patient_diagnosis, surveillance.indicators, surveillance.weekly_indicators,
         immunisation.patient_immunization, immunisation.immunization_dose,
-        st.exposed_infants, st.statuses, current_status, patient_with_status,
+        st.exposed_infants, st.status_rows, st.statuses, current_status, patient_with_status,
         regimens, patient_summary, alert_inputs, alerts, first_alerts,
     )
 }
@@ -80,6 +82,29 @@ BUILDERS: dict[str, Callable] = {
 TABLES = [n for n in BUILDERS if n not in ("alert_inputs", "patient_with_status")]
 
 
+def needs(name: str) -> list[str]:
+    """Tables a builder reads."""
+    return [p for p in inspect.signature(BUILDERS[name]).parameters if p in BUILDERS]
+
+
+def waves(names: list[str]) -> list[list[str]]:
+    """The named tables and all they need, grouped so that each group needs only earlier groups."""
+    depth: dict[str, int] = {}
+
+    def visit(name: str) -> int:
+        if name not in depth:
+            depth[name] = 1 + max((visit(n) for n in needs(name)), default=-1)
+        return depth[name]
+
+    for name in names:
+        visit(name)
+    groups: dict[int, list[str]] = {}
+    for name, d in depth.items():
+        if name != "alert_inputs":
+            groups.setdefault(d, []).append(name)
+    return [groups[d] for d in sorted(groups)]
+
+
 class Reports:
     """Builds report tables of one run over one record."""
 
@@ -114,6 +139,14 @@ class Reports:
             self.warehouse.write(name, self.build(name))
         return self.warehouse.read(name)
 
-    def run(self, names: list[str] | None = None) -> dict[str, DataFrame]:
-        """Write the named tables (all by default) and return them."""
-        return {n: self.table(n) for n in names or TABLES}
+    def run(self, names: list[str] | None = None, at_once: int = 1) -> dict[str, DataFrame]:
+        """Write the named tables (all by default) with what they need, and return them.
+
+        `at_once` tables that do not depend on each other are written side by side, so that the last
+        tasks of one do not leave executors idle.
+        """
+        names = names or TABLES
+        for wave in waves(names):
+            with ThreadPoolExecutor(at_once) as pool:
+                list(pool.map(self.table, wave))
+        return {n: self.table(n) for n in names}

@@ -195,16 +195,18 @@ def before_treatment(
     )
 
 
-def attach_reason(statuses: DataFrame, reasons: DataFrame) -> DataFrame:
-    """The reason given soonest on or after the start; the smallest code of that day."""
+def attach_reason(rows: DataFrame, reasons: DataFrame) -> DataFrame:
+    """The reason given soonest on or after the start; the smallest code of that day.
+
+    The rows are read twice, so hand over a stored table."""
     found = match_next(
-        statuses, reasons.withColumnRenamed("reason", "dis_reason"), "patient_id", "start_date", "visit_date",
+        rows, reasons.withColumnRenamed("reason", "dis_reason"), "patient_id", "start_date", "visit_date",
         inclusive=True, payload="dis_reason", name="_on",
     )
     return found.drop("_on")
 
 
-def statuses(
+def status_rows(
     rec: Record,
     encounter_context: DataFrame,
     patient: DataFrame,
@@ -235,8 +237,12 @@ def statuses(
         left_on_treatment(recent, encounter_context, patient_on_arv),
     ]
     rows = reduce(DataFrame.unionByName, [p.select(*OUT) for p in parts])
-    rows = delete_matching(rows, exposed_infants, ["patient_id"])
-    return attach_reason(rows, discontinuation_reason).select(
+    return delete_matching(rows, exposed_infants, ["patient_id"])
+
+
+def statuses(status_rows: DataFrame, discontinuation_reason: DataFrame, as_of) -> DataFrame:
+    """The statuses of the day with the reason for leaving care. Grain: patient, status."""
+    return attach_reason(status_rows, discontinuation_reason).select(
         *OUT, "dis_reason", _today(as_of).alias("date_started_status")
     )
 

@@ -17,8 +17,8 @@ DIAGNOSIS, CERTAINTY, ORDER = 1284, 159394, 159946
 PRIMARY, SECONDARY = 159943, 159944
 
 
-def patient_diagnosis(rec: Record, encounter_context: DataFrame) -> DataFrame:
-    """Diagnoses of primary-care and obstetric visits. Grain: encounter, location, group concept, concept, answer."""
+def diagnosis_answer(rec: Record, encounter_context: DataFrame) -> DataFrame:
+    """Grouped diagnosis answers of primary-care and obstetric visits, with their form."""
     types = rec.codes.encounter(
         "obgyn_initial", "obgyn_followup", "adult_initial", "adult_followup", "ped_initial", "ped_followup"
     )
@@ -28,11 +28,17 @@ def patient_diagnosis(rec: Record, encounter_context: DataFrame) -> DataFrame:
     answers = rec.obs.filter(
         (F.col("concept_id") == DIAGNOSIS) & F.col("value_coded").isNotNull() & F.col("obs_group_id").isNotNull()
     ).select("obs_id", "person_id", "encounter_id", "location_id", "obs_group_id", "concept_id", "value_coded", "voided")
-    # Any concept may head a diagnosis group, so the header is found by its id.
+    return answers.join(forms, "encounter_id")
+
+
+def patient_diagnosis(rec: Record, diagnosis_answer: DataFrame) -> DataFrame:
+    """Diagnoses. Grain: encounter, location, group concept, concept, answer."""
+    # Any concept may head a diagnosis group, so the header is found by its id among all observations;
+    # the stored answers are broadcast while they are small.
     head = rec.obs.select(
         F.col("obs_id").alias("obs_group_id"), F.col("concept_id").alias("concept_group"), "person_id", "encounter_id"
     )
-    rows = answers.join(forms, "encounter_id").join(head, ["obs_group_id", "person_id", "encounter_id"])
+    rows = diagnosis_answer.join(head, ["obs_group_id", "person_id", "encounter_id"])
     # A key seen in two groups keeps the group of its first row, as the rest of that row.
     spine = first_and_last(
         rows.withColumnsRenamed({"person_id": "patient_id", "value_coded": "answer_concept_id"}),

@@ -69,8 +69,9 @@ def start_increment(
 
 def refresh_surveillance(rec: Record, obs: DataFrame, warehouse: Warehouse) -> None:
     """Merge the diagnoses found in some observations, and their indicators, into the report tables."""
-    context = shared.encounter_context(rec)
-    found = surveillance.patient_diagnosis(rec.replace(obs=obs), context)
+    today = rec.replace(obs=obs)
+    answers = warehouse.write("diagnosis_answer", surveillance.diagnosis_answer(today, shared.encounter_context(rec)))
+    found = surveillance.patient_diagnosis(today, answers)
     keys = ["encounter_id", "location_id", "concept_group", "concept_id", "answer_concept_id"]
     old = warehouse.read("patient_diagnosis") if "patient_diagnosis" in warehouse else None
     details = ["suspected_confirmed", "primary_secondary", "encounter_date", "voided"]

@@ -26,7 +26,11 @@ def stage(spark: SparkSession, sf_dir: str) -> str:
         root = f"{shared_folder(spark)}/recast-{spark.sparkContext.applicationId}-{len(_DONE)}"
         views = spark.newSession()  # its own temporary views
         for t in _BASE:
-            views.read.parquet(f"{sf_dir}/{t}.parquet").createOrReplaceTempView(t)
+            base = views.read.parquet(f"{sf_dir}/{t}.parquet")
+            if t == "orders":
+                # Each order becomes dozens of observations: spread the orders before they grow.
+                base = base.repartition(spark.sparkContext.defaultParallelism, "o_orderkey")
+            base.createOrReplaceTempView(t)
         for t in ("encounter", "form_template"):
             views.sql(_spark_text(t)).createOrReplaceTempView(t)
         for t in TABLES:
