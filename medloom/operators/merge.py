@@ -92,13 +92,17 @@ def update_where(df: DataFrame, condition: Column, **values: Column) -> DataFram
 
 
 def delete_matching(target: DataFrame, source: DataFrame, on: list[str]) -> DataFrame:
-    """Target rows without a match in the source."""
-    return target.join(source.select(*on), on, "left_anti")
+    """Target rows without a match in the source.
+
+    Source keys are made distinct first (with map-side combine): a join can split a large key of the
+    target over tasks, but not one of the source.
+    """
+    return target.join(source.select(*on).distinct(), on, "left_anti")
 
 
 def keep_matching(target: DataFrame, source: DataFrame, on: list[str]) -> DataFrame:
-    """Target rows with a match in the source."""
-    return target.join(source.select(*on), on, "left_semi")
+    """Target rows with a match in the source; see `delete_matching` for the distinct keys."""
+    return target.join(source.select(*on).distinct(), on, "left_semi")
 
 
 def ensure_column(df: DataFrame, name: str, kind: str) -> DataFrame:

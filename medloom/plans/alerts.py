@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from medloom.functions.scalars import YES, day, days_between, flag, mysql_num, not_voided, whole_units
 from medloom.operators.eav import with_header
+from medloom.operators.merge import delete_matching, keep_matching
 from medloom.plans.shared import DRUG, PROPHYLAXIS, TREATMENT, of_types
 from medloom.sources.codes import is_any
 from medloom.sources.record import Record
@@ -58,7 +59,7 @@ class AlertInputs:
         """Patients with a discontinuation form (and, if asked, a reason on file)."""
         rows = of_types(self.context if any_form else self.forms, self.rec.codes.encounter("discontinuation"))
         rows = rows.select("patient_id").distinct()
-        return rows.join(self.reasons.select("patient_id"), "patient_id", "left_semi") if with_reason else rows
+        return keep_matching(rows, self.reasons, ["patient_id"]) if with_reason else rows
 
     def first_dispensation(self, live_only: bool = True, highest_encounter: bool = False) -> DataFrame:
         rows = self.dispensing.filter(F.col("arv_drug") == YES)
@@ -86,11 +87,11 @@ class AlertInputs:
 
 
 def _semi(rows: DataFrame, people: DataFrame) -> DataFrame:
-    return rows.join(people.select("patient_id"), "patient_id", "left_semi")
+    return keep_matching(rows, people, ["patient_id"])
 
 
 def _anti(rows: DataFrame, people: DataFrame) -> DataFrame:
-    return rows.join(people.select("patient_id"), "patient_id", "left_anti")
+    return delete_matching(rows, people, ["patient_id"])
 
 
 def _alert(rows: DataFrame, code: int, date: str | Column) -> DataFrame:
@@ -224,7 +225,7 @@ def no_viral_load_3_months(x: AlertInputs) -> DataFrame:
     )
     # The first antiretroviral day must still hold a dispensing row that is not voided.
     days = x.dispensing.filter(not_voided()).select("patient_id", day("visit_date").alias("first_day"))
-    rows = x.first_dispensation().join(days, ["patient_id", "first_day"], "left_semi")
+    rows = keep_matching(x.first_dispensation(), days, ["patient_id", "first_day"])
     rows = rows.filter(whole_units("MONTH", "first_day", x.today) >= 3)
     return _alert(_anti(_semi(rows, x.positive().filter(x.in_care(1, 2, 3, 4))), tested), 10, "first_day")
 
@@ -234,7 +235,7 @@ def no_isoniazid(x: AlertInputs) -> DataFrame:
     given = x.rec.obs.filter((F.col("concept_id") == DRUG) & (F.col("value_coded") == ISONIAZID) & not_voided()).select(
         "encounter_id", F.col("person_id").alias("patient_id")
     )
-    protected = of_types(x.forms, types).join(given, ["encounter_id", "patient_id"], "left_semi")
+    protected = keep_matching(of_types(x.forms, types), given, ["encounter_id", "patient_id"])
     rows = x.dispensing.filter((F.col("arv_drug") == YES) & (F.col("rx_or_prophy") != PROPHYLAXIS))
     return _alert(_anti(_semi(rows, x.positive().filter(x.in_care())), protected), 11, "visit_date")
 

@@ -51,7 +51,7 @@ def laboratory_results(rec: Record, orders: DataFrame, skip_zero: bool = False)
         "encounter_id", "test_id", "obs_datetime", "obs_id",
         value.alias("test_result"), day("obs_datetime").alias("date_test_done"),
         F.col("comments").alias("comment_test_done"),
-    ).join(orders.select("encounter_id", "test_id"), ["encounter_id", "test_id"], "left_semi")
+    ).join(orders.select("encounter_id", "test_id").distinct(), ["encounter_id", "test_id"], "left_semi")
     return first_and_last(
         rows, ["encounter_id", "test_id"], [], ["test_result", "date_test_done", "comment_test_done"],
         F.struct("obs_datetime", "obs_id"),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from medloom.functions.scalars import POSITIVE, day, filled, live
 from medloom.operators.eav import Obs, collect_obs
+from medloom.operators.merge import keep_matching
 from medloom.operators.pick import first_and_last
 from medloom.plans.shared import DISPENSED
 from medloom.sources.codes import is_any
@@ -124,7 +125,7 @@ def hiv_positive(rec: Record) -> DataFrame:
         F.col("concept_id").isin(1040, 1042) & (F.col("value_coded") == POSITIVE) & live()
     ).select("encounter_id", F.col("person_id").alias("patient_id"))
     labs = rec.encounter.filter(is_any("encounter_type", rec.codes.encounter("lab")) & live())
-    tested = labs.join(tests, ["encounter_id", "patient_id"], "left_semi").select("patient_id")
+    tested = keep_matching(labs, tests, ["encounter_id", "patient_id"]).select("patient_id")
     return hiv_positive_forms(rec, rec.encounter).unionByName(tested).distinct()
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from medloom.functions.scalars import NO, YES, day, labels, live, not_voided, round_int
 from medloom.operators.eav import Obs, collect_obs
+from medloom.operators.merge import keep_matching
 from medloom.operators.pick import first_and_last
 from medloom.plans.shared import DISPENSED, PRESCRIBED, TREATMENT, provider, visit_of
 from medloom.sources.dimensions import ARV_DRUG_IDS
@@ -74,7 +75,7 @@ def removed_group(rec: Record, ordered_drug: DataFrame) -> DataFrame:
     members = (
         rec.obs.filter(live() & F.col("obs_group_id").isNotNull())
         .select(*keys)
-        .join(ordered_drug.select(*keys), keys, "left_semi")
+        .join(ordered_drug.select(*keys).distinct(), keys, "left_semi")
         .groupBy(*keys)
         .agg(F.count("*").alias("_members"))
     )
@@ -227,4 +228,4 @@ def patient_on_arv(patient_dispensing: DataFrame) -> DataFrame:
 def still_on_arv(patient_on_arv: DataFrame, patient_dispensing: DataFrame) -> DataFrame:
     """Drop patients whose antiretroviral dispensations were all corrected since."""
     valid = patient_dispensing.filter((F.col("arv_drug") == YES) & on_treatment() & not_voided())
-    return patient_on_arv.join(valid.select("patient_id"), "patient_id", "left_semi")
+    return keep_matching(patient_on_arv, valid, ["patient_id"])

@@ -115,3 +115,19 @@ def created_on(table: DataFrame, as_of, ts_col: str = "date_created") -> DataFra
     """Rows entered on one day. Written as a range on the raw column so that it prunes the scan."""
     start = F.lit(as_of).cast("date").cast("timestamp_ntz")
     return table.filter((F.col(ts_col) >= start) & (F.col(ts_col) < start + F.expr("INTERVAL 1 DAY")))
+
+
+# Rules ask for a few concepts at a time: rows ordered by concept let the scan skip row groups.
+LAYOUT = {"obs": ["concept_id", "encounter_id"], "encounter": ["encounter_type", "encounter_id"]}
+
+
+def store_record(rec: Record, write: Callable[..., DataFrame]) -> Record:
+    """Copy the source tables once (for example from a database) and read the copies from then on.
+
+    `write(name, df, sort_within=...)` stores a table and returns it read back. The order is made inside
+    each file only, so the copy needs no shuffle.
+    """
+    stored = {
+        t: write(f"source_{t}", getattr(rec, t), sort_within=LAYOUT.get(t)) for t in RECORD_TABLES
+    }
+    return rec.replace(**stored)

@@ -288,7 +288,7 @@ TABLES: dict[str, str] = {
     "patient": """
         SELECT c_custkey AS patient_id, TIMESTAMP_AS_OF - INTERVAL '1' DAY * CAST(c_custkey % 40 AS INT) AS date_created,
                0 AS voided
-        FROM customer WHERE c_custkey % 53 <> 52""",
+        FROM customer""",
     "person_name": """
         SELECT c_custkey AS person_id, c_mktsegment AS given_name, c_name AS family_name, CAST(c_nationkey AS BIGINT) AS creator,
                TIMESTAMP_AS_OF - INTERVAL '1' DAY * CAST(c_custkey % 40 AS INT) AS date_created,
@@ -297,7 +297,7 @@ TABLES: dict[str, str] = {
         UNION ALL
         SELECT c_custkey, 'MAIDEN', c_name, CAST(c_nationkey AS BIGINT),
                TIMESTAMP_AS_OF - INTERVAL '1' DAY * CAST(50 + c_custkey % 40 AS INT), 0
-        FROM customer WHERE c_custkey % 10 = 3""",
+        FROM customer""",
     "person_address": """
         SELECT c_custkey AS person_id, CASE WHEN c_custkey % 5 = 0 THEN '' WHEN c_custkey % 5 = 1 THEN NULL ELSE c_name END AS address1,
                CASE WHEN c_custkey % 3 = 0 THEN NULL WHEN c_custkey % 4 = 0 THEN '' ELSE c_mktsegment END AS address2, 0 AS voided
@@ -306,7 +306,7 @@ TABLES: dict[str, str] = {
         SELECT c_custkey AS person_id, CAST(1 + c_custkey % 3 AS BIGINT) AS person_attribute_type_id, c_mktsegment AS value, 0 AS voided
         FROM customer
         UNION ALL
-        SELECT c_custkey, CAST(1 + (c_custkey + 1) % 3 AS BIGINT), c_name, 0 FROM customer WHERE c_custkey % 2 = 0""",
+        SELECT c_custkey, CAST(1 + (c_custkey + c_nationkey) % 3 AS BIGINT), c_name, 0 FROM customer""",
     "patient_identifier": """
         SELECT c_custkey AS patient_id, c_name AS identifier, CAST(1 + c_custkey % 5 AS BIGINT) AS identifier_type,
                CAST(c_nationkey AS BIGINT) AS location_id, CASE WHEN c_custkey % 11 = 0 THEN 1 ELSE 0 END AS voided
@@ -340,7 +340,7 @@ TABLES: dict[str, str] = {
                CASE WHEN o_orderkey % 13 = 0 THEN 1 ELSE 0 END AS voided
         FROM orders
         UNION ALL
-        SELECT o_orderkey * 2, o_orderkey % 31 + 1, 0 FROM orders WHERE o_orderkey % 6 = 0""",
+        SELECT o_orderkey * 2, o_orderkey % 31 + 1, CASE WHEN o_orderkey % 6 = 0 THEN 0 ELSE 1 END FROM orders""",
     "obs": """
         SELECT encounter_id * 128 + slot AS obs_id, patient_id AS person_id, CAST(concept AS BIGINT) AS concept_id,
                encounter_id, encounter_datetime AS obs_datetime, location_id,
@@ -371,8 +371,8 @@ TABLES: dict[str, str] = {
     "legacy_status": """
         SELECT c_name AS patientid, 1 + c_custkey % 11 AS patientstatus,
                TIMESTAMP_AS_OF - INTERVAL '1' DAY * CAST(c_custkey % 90 AS INT) AS insertdate
-        FROM customer WHERE c_custkey % 3 = 0
+        FROM customer
         UNION ALL
         SELECT c_name, c_custkey % 4, TIMESTAMP_AS_OF - INTERVAL '1' DAY * CAST(c_custkey % 90 AS INT)
-        FROM customer WHERE c_custkey % 6 = 0""",
+        FROM customer""",
 }
