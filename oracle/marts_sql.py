@@ -287,6 +287,10 @@ SELECT vp AS patient_id, x.encounter_id, vl AS location_id, x.visit_id, vd::DATE
   CAST(round(adh) AS INT) AS adherence_evaluation, fp AS family_planning_method_used, tb AS evaluated_of_tb, nutr AS nutritional_assessment_completed,
   act AS is_active_tb, {years('birthdate', 'vd::DATE')} AS age_in_years, vvoid AS voided
 FROM ctx x JOIN f USING (encounter_id) JOIN v ON v.visit_id = x.visit_id LEFT JOIN person p ON p.person_id = x.patient_id"""
+Q["health_qual_intended"] = Q["health_qual_patient_visit"].replace(
+    f"coalesce({flag('concept_id IN (5314, 1343)')}, 0) AS nutr",
+    "CASE WHEN bool_or(concept_id IN (5314, 1343)) OR (bool_or(concept_id = 5089) AND bool_or(concept_id = 5090)) THEN 1 ELSE 0 END AS nutr",
+)
 
 _KIND = "42, 159355, 118890, 5042"
 _tb_class = {

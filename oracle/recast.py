@@ -175,7 +175,9 @@ def _template() -> list[tuple]:
     primary.ask(159614, (460, 159799, 163740, 122496, 159937), every=2)
     primary.ask(163515, (1115, 164131, 123815, 1), every=2)
     primary.ask(1343, number=(10.5, 20), every=3)
-    for block in (_DIAGNOSES[0::3], _DIAGNOSES[1::3], _DIAGNOSES[2::3]):
+    # Cycles of 13 and 17 answers meet every certainty, whose cycle is 6.
+    spare = _DIAGNOSES * 2
+    for block in (spare[:13], spare[13:30], spare[30:43]):
         primary.group(
             159947, (1284, dict(codes=tuple(block))), (159394, dict(codes=(159393, 159392, 1), every=2)),
             (159946, dict(codes=(159943, 159944))),

@@ -47,6 +47,8 @@ for _name in (
 ):
     _report(_name)
 _report("patient_ob_gyn", "ob_gyn_intended", key="patient_ob_gyn_intended_pressure", intended_pressure=True)
+_report("health_qual_patient_visit", "health_qual_intended", key="health_qual_intended_nutrition", intended_nutrition=True)
+_report("patient_on_art", "art_intended", key="patient_on_art_intended_screening", intended_screening=True)
 
 
 @register("status_counts", "status_counts")

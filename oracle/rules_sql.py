@@ -141,6 +141,12 @@ SELECT ids.patient_id, coalesce(prevnew, prev) AS date_completed_preventive_tb_t
   NULL::DATE AS date_screened_cervical_cancer, cervical_cancer_status, date_started_cervical_cancer_status, cervical_cancer_treatment, date_cervical_cancer_treatment,
   breast_feeding, date_breast_feeding, date_started_breast_feeding, prev AS date_full_6_months_of_inh_has_px, migrated
 FROM ids LEFT JOIN f USING (patient_id) LEFT JOIN h USING (patient_id) LEFT JOIN tr USING (patient_id)"""
+Q["art_intended"] = Q["patient_on_art"].replace("NULL::INT AS screened_cervical_cancer", "scr AS screened_cervical_cancer").replace(
+    "NULL::DATE AS date_screened_cervical_cancer", "dscr AS date_screened_cervical_cancer"
+).replace(
+    "FROM obs GROUP BY 1),", f", {flag('voided = 0 AND concept_id = 1651 AND value_coded = 151185')} AS scr, "
+    f"{last(_D, 'voided = 0 AND concept_id = 1651 AND value_coded = 151185')} AS dscr FROM obs GROUP BY 1),", 1,
+)
 
 # ---------------------------------------------------------------------------------------- surveillance
 _rules = ", ".join(
