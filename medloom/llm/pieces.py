@@ -16,13 +16,19 @@ from __future__ import annotations
 
 import hashlib
 import heapq
+import string
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from medloom.llm.common import prepare
-from medloom.llm.counts import MARK, REMEMBERED, PieceRanks, ranks_of
+from medloom.llm.counts import MARK, PieceRanks, ranks_of
+
+#: Characters that an end of a word consists of.
+MARKS = string.punctuation
+#: Words a worker remembers; the two latest fills stay.
+REMEMBERED = 600_000
 
 
 def encode_word(word: str, ranks: PieceRanks) -> list[int]:
@@ -44,9 +50,8 @@ def encode_word(word: str, ranks: PieceRanks) -> list[int]:
             heapq.heappush(agenda, (r, before[i], i, e))
     ids, at = [], 0
     while at < n:
-        p = word[at:end[at]]
-        if p in ranks.id_of:
-            ids.append(ranks.id_of[p])
+        if (i := ranks.id_of.get(p := word[at:end[at]])) is not None:
+            ids.append(i)
         else:
             ids.extend(ranks.byte_id[c] for c in p.encode())
         at = end[at]
@@ -55,6 +60,8 @@ def encode_word(word: str, ranks: PieceRanks) -> list[int]:
 
 def decode_ids(ids: list[int], ranks: PieceRanks) -> str:
     """Text of ids, the spaces still marked."""
+    if ranks.byte_values.keys().isdisjoint(ids):
+        return "".join(map(ranks.piece.__getitem__, ids))
     out, run = [], bytearray()
     for i in ids:
         p = ranks.piece[i]
@@ -77,31 +84,59 @@ class Words:
     """Ids and text of the words a worker has met; the two latest fills of `REMEMBERED` words stay."""
 
     def __init__(self, ranks: PieceRanks):
-        self.ranks, self.now, self.older = ranks, {}, {}
+        self.ranks, self.now, self.older, self.ends, self.checked = ranks, {}, {}, {}, {}
 
     def learn(self, words: set[str]) -> None:
         """Encode and decode new words, and hold both against the library."""
         if len(self.now) >= REMEMBERED:
-            self.older, self.now = self.now, {}
+            self.older, self.now, self.ends = self.now, {}, {}
         now, older, ranks = self.now, self.older, self.ranks
-        fresh = []
+        fresh, split, met = [], [], set()
         for w in words:
-            if w not in now:
-                if (got := older.get(w)) is not None:
-                    now[w] = got
-                else:
-                    fresh.append(w)
-        if not fresh:
+            if w in now:
+                continue
+            if (got := older.get(w)) is not None:
+                now[w] = got
+                continue
+            stem = w.rstrip(MARKS)
+            n = len(stem)
+            if 1 < n < len(w) and w[n - 1:n + 1] not in ranks.pairs:
+                # Nothing merges across this place: stem and end are encoded apart.
+                split.append((w, stem, w[n:]))
+                if stem in met or stem in now or stem in words:
+                    continue
+                if (got := older.get(stem)) is not None:
+                    now[stem] = got
+                    continue
+                met.add(w := stem)
+            fresh.append(w)
+        self._encode(fresh, fresh)
+        new = {e: w for w, _, e in split if e not in self.ends}
+        self._encode(list(new.values()), [])  # a word with each new end is checked whole
+        for end in new:
+            ids = encode_word(end, ranks)
+            self.ends[end] = (",".join(map(str, ids)), len(ids), decode_ids(ids, ranks))
+        for w, stem, end in split:
+            (a, n, s), (b, m, t) = now[stem], self.ends[end]
+            whole = (f"{a},{b}", n + m, s + t)
+            if end in new and new[end] == w and self.checked.pop(w) != whole:
+                raise AssertionError(f"differs when cut: {w!r}")
+            now[w] = whole
+
+    def _encode(self, words: list[str], keep: list[str]) -> None:
+        """Encode, decode and check words; those not to keep go to `checked`."""
+        if not words:
             return
-        ids = [encode_word(w, ranks) for w in fresh]
+        ranks, into = self.ranks, self.now if keep else self.checked
+        ids = [encode_word(w, ranks) for w in words]
         texts = [decode_ids(i, ranks) for i in ids]
         # The library adds no mark to an empty text, so it is not asked about a lone mark.
-        theirs = ranks.library.encode([w[1:].replace(MARK, " ") for w in fresh], num_threads=1)
+        theirs = ranks.library.encode([w[1:].replace(MARK, " ") for w in words], num_threads=1)
         back = ranks.library.decode(theirs)
-        for w, mine, text, other, decoded in zip(fresh, ids, texts, theirs, back):
+        for w, mine, text, other, decoded in zip(words, ids, texts, theirs, back):
             if (mine != other or unmarked(text) != decoded) and w != MARK:
                 raise AssertionError(f"differs from the library on {w!r}: {mine} and {other}")
-            now[w] = (",".join(map(str, mine)), len(mine), text)
+            into[w] = (",".join(map(str, mine)), len(mine), text)
 
 
 _WORDS: dict[str, Words] = {}
