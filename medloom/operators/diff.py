@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 def only_in(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
     """Keys of `a` that `b` does not have."""
-    return a.select(*keys).distinct().join(b.select(*keys), keys, "left_anti")
+    return a.select(*keys).distinct().join(b.select(*keys).distinct(), keys, "left_anti")
 
 
 def keys_apart(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:

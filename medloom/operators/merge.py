@@ -10,7 +10,7 @@ from medloom.operators.pick import first_and_last
 
 def _order(order_by) -> Column:
     cols = [order_by] if isinstance(order_by, str) else list(order_by)
-    return F.col(cols[0]) if len(cols) == 1 else F.struct(*cols)
+    return F.struct(*cols)  # a NULL in it still orders the row, first
 
 
 def reduce_batch(source: DataFrame, keys: list[str], update_cols: list[str], order_by) -> DataFrame:
@@ -58,7 +58,7 @@ def upsert(
 
 
 def update_from(
-    target: DataFrame, source: DataFrame, on: list[str], set_cols: dict[str, Column | str], order_by=None
+    target: DataFrame, source: DataFrame, on: list[str], set_cols: dict[str, Column | str], order_by
 ) -> DataFrame:
     """Set columns of the target rows that have a match; leave the others alone.
 
@@ -68,14 +68,7 @@ def update_from(
     values = [
         (F.col(e) if isinstance(e, str) else e).alias(f"_set_{c}") for c, e in set_cols.items()
     ]
-    if order_by is None:
-        chosen = source.select(*on, *values).dropDuplicates(on)
-    else:
-        chosen = (
-            source.groupBy(*on)
-            .agg(F.max_by(F.struct(*values), _order(order_by)).alias("_v"))
-            .select(*on, "_v.*")
-        )
+    chosen = source.groupBy(*on).agg(F.max_by(F.struct(*values), _order(order_by)).alias("_v")).select(*on, "_v.*")
     joined = target.join(chosen.withColumn("_hit", F.lit(True)), on, "left")
     for c in set_cols:
         old = F.col(c) if c in target.columns else F.lit(None)

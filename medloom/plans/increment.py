@@ -19,6 +19,7 @@ from medloom.plans import laboratory as lab, pharmacy as ph, regimens as rg, sha
 from medloom.plans.people import hiv_positive_forms
 from medloom.sources.dimensions import dimension
 from medloom.sources.record import Record, created_on
+from medloom.sources.schemas import SOURCE_SCHEMAS
 
 # What a later edit of an observation may change.
 OBS_EDITS = ["obs_datetime", "obs_group_id", "value_datetime", "value_coded", "value_numeric", "value_text", "voided"]
@@ -29,16 +30,17 @@ def obs_of_day(obs: DataFrame, as_of) -> DataFrame:
     return created_on(obs, as_of)
 
 
-def buffer_obs(buffer: DataFrame | None, batch: DataFrame, as_of, sequence: str | None = None) -> DataFrame:
+def buffer_obs(buffer: DataFrame | None, batch: DataFrame, as_of, sequence: str) -> DataFrame:
     """Merge a batch into the day's buffer by observation id; the later edit wins.
 
     Rows of other days leave the buffer. `sequence` orders several edits of one observation within the
-    batch (by default the batch has one row per observation).
+    batch; equal ones are ordered by their values, so that the result does not depend on the order of
+    arrival. It is dropped unless observations have that column.
     """
     today = obs_of_day(batch, as_of)
-    order = sequence or "obs_id"
     kept = obs_of_day(buffer, as_of) if buffer is not None else None
-    return upsert(kept, today, ["obs_id"], OBS_EDITS, order, drop=(sequence,) if sequence else ())
+    extra = () if f"{sequence} " in SOURCE_SCHEMAS["obs"] else (sequence,)
+    return upsert(kept, today, ["obs_id"], OBS_EDITS, [sequence, *OBS_EDITS], drop=extra)
 
 
 def high_water(obs: DataFrame) -> DataFrame:
@@ -111,6 +113,7 @@ def prescription_of_day(drugs: DataFrame, encounter_context: DataFrame) -> DataF
     )
 
 
+# What a test order fills in; an order already in the table keeps its other columns.
 LAB_DAY = [
     "patient_id", "encounter_id", "test_id", "location_id", "visit_id", "visit_date", "test_done", "test_result",
     "date_test_done", "comment_test_done", "voided",
@@ -133,7 +136,7 @@ def laboratory_of_day(rec: Record, obs: DataFrame, laboratory: DataFrame, encoun
             "date_test_done": F.lit(None).cast("date"), "comment_test_done": F.lit(None).cast("string"),
         }
     ).select(*LAB_DAY)
-    merged = upsert(laboratory.select(*LAB_DAY), orders, lab.KEY, ["voided"], "test_id")
+    merged = upsert(laboratory, orders, lab.KEY, ["voided"], ["voided", "location_id", "visit_id"])
     results = lab.laboratory_results(today, merged, skip_zero=True)
     return update_from(
         merged, results, ["encounter_id", "test_id"],
@@ -146,7 +149,7 @@ def virology_of_day(rec: Record, obs: DataFrame, tests: DataFrame, encounter_con
     today = rec.replace(obs=obs)
     found = lab.virological_tests(today, encounter_context, as_of)
     keys = ["encounter_id", "location_id", "obs_group_id", "test_id"]
-    merged = upsert(tests, found, keys, ["voided"], "obs_group_id")
+    merged = upsert(tests, found, keys, ["voided"], ["voided", "patient_id"])
     answers = sibling_groups(
         obs, None,
         {

@@ -112,6 +112,7 @@ class Reports:
         self.rec = rec
         self.as_of = as_of
         self.warehouse = warehouse or Warehouse(rec.spark)
+        self._built: set[str] = set()
 
     def build(self, name: str, **options) -> DataFrame:
         """The table as a query over its inputs; the inputs themselves are written first.
@@ -132,11 +133,12 @@ class Reports:
         return builder(**args)
 
     def table(self, name: str):
-        """The table, written to the warehouse on first use."""
+        """The table, written to the warehouse on first use in this run; what an earlier run left is replaced."""
         if name == "alert_inputs":
             return self.build(name)
-        if name not in self.warehouse:
+        if name not in self._built:
             self.warehouse.write(name, self.build(name))
+            self._built.add(name)
         return self.warehouse.read(name)
 
     def run(self, names: list[str] | None = None, at_once: int = 1) -> dict[str, DataFrame]:

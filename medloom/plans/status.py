@@ -248,8 +248,8 @@ def statuses(status_rows: DataFrame, discontinuation_reason: DataFrame, as_of) -
 
 
 def merge_history(history: DataFrame, fresh: DataFrame, as_of) -> DataFrame:
-    """Replace the rows of the day with the fresh ones."""
-    return history.filter(day("date_started_status") != _today(as_of)).unionByName(fresh)
+    """Replace the rows of the day with the fresh ones; rows without a day stay."""
+    return history.filter(~day("date_started_status").eqNullSafe(_today(as_of))).unionByName(fresh)
 
 
 def merge_day_status(history: DataFrame, fresh: DataFrame) -> DataFrame:

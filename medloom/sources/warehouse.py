@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,52 +13,51 @@ from medloom.operators.merge import upsert
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in `spark.checkpoint.dir`.
 
-    Only a local-mode session without that setting falls back to a temporary folder: there the driver
-    and the executors are one process on one machine.
+    Without that setting, a folder beside the session's own tables.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    fallback = tempfile.mkdtemp(prefix="run-")
-    spark.conf.set("spark.checkpoint.dir", fallback)
-    return fallback
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    return configured or f"{spark.conf.get('spark.sql.warehouse.dir')}/medloom-stored"
 
 
 class Warehouse:
     """Parquet tables under one root.
 
-    Every write goes to a new version folder and becomes current only when complete, through a small
-    pointer table; a reader or a failed writer never sees half a table, and a table may be rewritten
-    from a query that reads it.
+    Every write goes to a new folder and becomes current only when complete: then a new pointer, never
+    changed afterwards, names the folders of the version, and the complete pointer with the highest number
+    counts. A reader or a failed writer never sees half a table, writers in other processes are seen, and a
+    table may be rewritten from a query that reads it. One writer per table is assumed.
     """
 
     def __init__(self, spark: SparkSession, root: str | None = None):
         self.spark = spark
         self.root = root or f"{shared_folder(spark)}/medloom-{uuid.uuid4().hex}"
-        self._current: dict[str, str] = {}
 
     def __contains__(self, name: str) -> bool:
-        return self._path(name) is not None
-
-    def _pointer(self, name: str) -> str:
-        return f"{self.root}/_current/{name}"
-
-    def _path(self, name: str) -> str | None:
-        if name not in self._current:
-            hadoop = self.spark._jvm.org.apache.hadoop.fs.Path(self._pointer(name))
-            fs = hadoop.getFileSystem(self.spark._jsc.hadoopConfiguration())
-            if not fs.exists(hadoop):
-                return None
-            self._current[name] = self.spark.read.text(self._pointer(name)).first()[0]
-        return self._current[name]
+        return self._paths(name) is not None
+
+    def _pointers(self, name: str):
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/_current/{name}")
+        return folder, folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def _numbers(self, name: str) -> list[int]:
+        """Numbers of the table's pointers, complete or not."""
+        folder, fs = self._pointers(name)
+        return sorted(int(s.getPath().getName()) for s in fs.listStatus(folder)) if fs.exists(folder) else []
+
+    def _paths(self, name: str) -> list[str] | None:
+        """The folders of the current version."""
+        folder, fs = self._pointers(name)
+        for n in reversed(self._numbers(name)):
+            pointer = f"{folder.toString()}/{n:09d}"
+            if fs.exists(self.spark._jvm.org.apache.hadoop.fs.Path(f"{pointer}/_SUCCESS")):
+                return [r[0] for r in self.spark.read.text(pointer).collect()] or None
+        return None
 
     def read(self, name: str) -> DataFrame:
-        path = self._path(name)
-        if path is None:
+        paths = self._paths(name)
+        if paths is None:
             raise KeyError(f"no table {name} under {self.root}")
-        return self.spark.read.parquet(path)
+        return self.spark.read.parquet(*paths)
 
     def write(
         self,
@@ -76,19 +74,19 @@ class Warehouse:
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(path)
-        self._point(name, path)
+        self._point(name, [path])
         return self.read(name)
 
-    def _point(self, name: str, path: str) -> None:
-        row = self.spark.range(1).select(F.lit(path).alias("path"))
-        row.write.mode("overwrite").text(self._pointer(name))
-        self._current[name] = path
+    def _point(self, name: str, paths: list[str]) -> None:
+        rows = self.spark.createDataFrame([(p,) for p in paths], "path string").coalesce(1)
+        number = max(self._numbers(name), default=0) + 1
+        rows.write.mode("errorifexists").text(f"{self.root}/_current/{name}/{number:09d}")
 
     def append(self, name: str, df: DataFrame) -> DataFrame:
-        """Add rows to the current version."""
-        if name not in self:
-            return self.write(name, df)
-        df.write.mode("append").parquet(self._path(name))
+        """A version with the rows added; the files of the current one are shared, not changed."""
+        old, path = self._paths(name), f"{self.root}/{name}/{uuid.uuid4().hex}"
+        df.write.mode("errorifexists").parquet(path)
+        self._point(name, [*(old or []), path])
         return self.read(name)
 
     def upsert(self, name: str, source: DataFrame, keys, update_cols, order_by, drop=()) -> DataFrame:
@@ -102,32 +100,22 @@ class Warehouse:
         return self.write(name, self.read(name).filter(keep).unionByName(rows))
 
     def replace_partition(self, name: str, rows: DataFrame, partition: str) -> DataFrame:
-        """Replace only the partitions (for example days) that occur in `rows`."""
+        """Replace only the partitions (for example days) that occur in `rows`; earlier versions stay as they are."""
         if name not in self:
             return self.write(name, rows, partition_by=[partition])
-        (
-            rows.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(partition)
-            .parquet(self._path(name))
-        )
-        return self.read(name)
+        old = self.read(name)
+        fresh = rows.withColumn(partition, F.col(partition).cast(old.schema[partition].dataType))
+        kept = old.join(fresh.select(partition).distinct(), partition, "left_anti")
+        return self.write(name, kept.unionByName(fresh), partition_by=[partition])
 
     def drop(self, name: str) -> None:
         """Forget a table: an empty pointer makes it absent. Its files stay until the folder is cleaned."""
-        self._current.pop(name, None)
-        pointer = self.spark._jvm.org.apache.hadoop.fs.Path(self._pointer(name))
-        pointer.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(pointer, True)
-
-    def snapshot(self, names: list[str]) -> dict[str, str]:
-        """Remember the current version of tables; versions are immutable except for `append`."""
-        return {n: self._path(n) for n in names if n in self}
-
-    def restore(self, saved: dict[str, str]) -> None:
-        for name, path in saved.items():
-            self._point(name, path)
+        self._point(name, [])
 
+    def snapshot(self, names: list[str]) -> dict[str, list[str]]:
+        """Remember the current version of tables; versions never change."""
+        return {n: paths for n in names if (paths := self._paths(n)) is not None}
 
-def stamped(df: DataFrame, as_of) -> DataFrame:
-    """Add the audit column the report tables carry."""
-    return df.withColumn("last_updated_date", F.lit(as_of).cast("timestamp_ntz"))
+    def restore(self, saved: dict[str, list[str]]) -> None:
+        for name, paths in saved.items():
+            self._point(name, paths)

@@ -2,8 +2,9 @@
 
 New observations arrive as a stream; every ten minutes a micro-batch is merged into the day's buffer and
 the jobs of the run are repeated over the buffer (stream-static: encounters, visits and history are read
-as tables). The buffer holds one day, so state is bounded by what is entered in a day. All writes merge
-by key, so a micro-batch that is replayed after a failure leaves the same tables.
+as tables). There is one buffer per day of entry. A batch that holds several days, as after an outage, runs
+once per day in ascending order, and a late day goes to its own buffer. All writes merge by key, so a
+micro-batch that is replayed after a failure leaves the same tables.
 """
 
 from __future__ import annotations
@@ -25,9 +26,17 @@ from medloom.sources.warehouse import Warehouse
 EVERY = "10 minutes"
 
 
-def latest_day(batch: DataFrame, ts_col: str = "date_created") -> dt.date | None:
-    """The latest day of entry in a batch: one row, whatever the size of the batch."""
-    return batch.agg(F.max(day(ts_col)).alias("d")).first()["d"]
+def days_of(batch: DataFrame, ts_col: str = "date_created") -> list[dt.date]:
+    """The days of entry in a batch, ascending: a row per day, whatever the size of the batch."""
+    days = batch.select(day(ts_col).alias("d")).filter("d IS NOT NULL").distinct()
+    return [r["d"] for r in days.orderBy("d").collect()]
+
+
+def merge_into_buffer(warehouse: Warehouse, name: str, batch: DataFrame, as_of: dt.date, sequence: str) -> DataFrame:
+    """The observations entered on a day so far, this batch included; each day has a buffer of its own."""
+    table = f"{name}_{as_of:%Y%m%d}"
+    buffer = warehouse.read(table) if table in warehouse else None
+    return warehouse.write(table, buffer_obs(buffer, batch, as_of, sequence))
 
 
 def _trigger(writer, available_now: bool, every: str):
@@ -44,25 +53,21 @@ def start_increment(
     rec: Record,
     warehouse: Warehouse,
     checkpoint: str,
-    clock: Callable[[DataFrame], dt.date | None] = latest_day,
-    sequence: str | None = None,
+    days: Callable[[DataFrame], list[dt.date]] = days_of,
+    sequence: str = "date_created",
     available_now: bool = False,
     every: str = EVERY,
 ) -> StreamingQuery:
     """Run the chain of jobs on every micro-batch.
 
-    `warehouse` holds the report tables of the last full run and receives the new ones. `clock` names the
-    day of a batch; rows entered on another day are out of scope. `sequence` orders edits of one
-    observation inside a batch.
+    `warehouse` holds the report tables of the last full run and receives the new ones. `days` names the
+    days of a batch to run, all by default. `sequence` orders edits of one observation inside a batch.
     """
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        as_of = clock(batch)
-        if as_of is None:
-            return
-        buffer = warehouse.read("obs_buffer") if "obs_buffer" in warehouse else None
-        obs = warehouse.write("obs_buffer", buffer_obs(buffer, batch, as_of, sequence))
-        Day(rec, as_of, warehouse.read, warehouse.write).run(obs)
+        for as_of in days(batch):
+            obs = merge_into_buffer(warehouse, "obs_buffer", batch, as_of, sequence)
+            Day(rec, as_of, warehouse.read, warehouse.write).run(obs)
 
     return _start(obs_stream, on_batch, checkpoint, available_now, every)
 
@@ -70,7 +75,7 @@ def start_increment(
 def refresh_surveillance(rec: Record, obs: DataFrame, warehouse: Warehouse) -> None:
     """Merge the diagnoses found in some observations, and their indicators, into the report tables."""
     today = rec.replace(obs=obs)
-    answers = warehouse.write("diagnosis_answer", surveillance.diagnosis_answer(today, shared.encounter_context(rec)))
+    answers = warehouse.write("diagnosis_answer_of_day", surveillance.diagnosis_answer(today, shared.encounter_context(rec)))
     found = surveillance.patient_diagnosis(today, answers)
     keys = ["encounter_id", "location_id", "concept_group", "concept_id", "answer_concept_id"]
     old = warehouse.read("patient_diagnosis") if "patient_diagnosis" in warehouse else None
@@ -84,17 +89,14 @@ def refresh_surveillance(rec: Record, obs: DataFrame, warehouse: Warehouse) -> N
 
 def start_surveillance(
     obs_stream: DataFrame, rec: Record, warehouse: Warehouse, checkpoint: str,
-    sequence: str | None = None, available_now: bool = False, every: str = EVERY,
+    days: Callable[[DataFrame], list[dt.date]] = days_of, sequence: str = "date_created",
+    available_now: bool = False, every: str = EVERY,
 ) -> StreamingQuery:
-    """Keep diagnoses and indicators up to date with the stream."""
+    """Keep diagnoses and indicators up to date with the stream; options as for `start_increment`."""
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        as_of = latest_day(batch)
-        if as_of is None:
-            return
-        buffer = warehouse.read("surveillance_buffer") if "surveillance_buffer" in warehouse else None
-        obs = warehouse.write("surveillance_buffer", buffer_obs(buffer, batch, as_of, sequence))
-        refresh_surveillance(rec, obs, warehouse)
+        for as_of in days(batch):
+            refresh_surveillance(rec, merge_into_buffer(warehouse, "surveillance_buffer", batch, as_of, sequence), warehouse)
 
     return _start(obs_stream, on_batch, checkpoint, available_now, every)
 

@@ -54,7 +54,7 @@ r AS (SELECT encounter_id, concept_id AS test_id, CASE WHEN value_coded <> 0 THE
 m AS (SELECT patient_id, encounter_id, test_id, CASE WHEN o.patient_id IS NULL THEN n.location_id ELSE o.location_id END AS location_id,
    CASE WHEN o.patient_id IS NULL THEN CASE WHEN x.vvoid = 0 THEN x.visit_id END ELSE o.visit_id END AS visit_id,
    CASE WHEN o.patient_id IS NULL THEN CASE WHEN x.vvoid = 0 THEN x.vd END ELSE o.visit_date END AS visit_date,
-   coalesce(o.test_done, 0) AS test_done, o.test_result, o.date_test_done, o.comment_test_done, CASE WHEN n.patient_id IS NULL THEN o.voided ELSE n.voided END AS voided
+   o.creation_date, o.provider_id, o.order_destination, o.test_name, o.viral_load_target_or_routine, coalesce(o.test_done, 0) AS test_done, o.test_result, o.date_test_done, o.comment_test_done, CASE WHEN n.patient_id IS NULL THEN o.voided ELSE n.voided END AS voided
    FROM patient_laboratory o FULL JOIN n USING (patient_id, encounter_id, test_id) LEFT JOIN ctx x USING (encounter_id))
 SELECT m.* REPLACE (CASE WHEN r.encounter_id IS NULL THEN test_done ELSE 1 END AS test_done, CASE WHEN r.encounter_id IS NULL THEN test_result ELSE r.v END AS test_result,
   CASE WHEN r.encounter_id IS NULL THEN date_test_done ELSE r.d END AS date_test_done, CASE WHEN r.encounter_id IS NULL THEN comment_test_done ELSE r.k END AS comment_test_done)

@@ -196,7 +196,10 @@ def _warehouse(spark, d):
 
 _rule(
     "still_on_arv", "SELECT * FROM patient_on_arv",
-    lambda r: still_on_arv(r.table("patient_on_arv"), r.table("patient_dispensing")),
+    # As many patients again who never got a drug: all of them must go.
+    lambda r: still_on_arv(
+        r.table("patient_on_arv").unionByName(r.table("patient_on_arv").withColumn("patient_id", F.col("patient_id") + 1_000_000)),
+        r.table("patient_dispensing")),
 )
 _rule(
     "legacy_import", f"""
@@ -237,10 +240,22 @@ _rule(
     "merge_regimens", """
 SELECT r.* FROM regimens r""",
     lambda r: rg.merge_regimens(
-        r.table("regimens"), r.table("patient_prescription"), r.table("regimens")),
+        # Half of the rows are missing, and every day with a voided prescription has one too many.
+        r.table("regimens").filter("patient_id % 2 = 0").unionByName(_withdrawn(r)),
+        r.table("patient_prescription"), r.table("regimens")),
 )
 
 
+def _withdrawn(r):
+    """A regimen on each day of a voided prescription."""
+    days = r.table("patient_prescription").filter("voided = 1").select("patient_id", "location_id", F.to_date("visit_date").alias("visit_date")).distinct()
+    table_ = r.table("regimens")
+    extra = [
+        F.col(c).cast(t).alias(c) if c in days.columns else F.lit("withdrawn" if c == "regimen" else None).cast(t).alias(c) for c, t in table_.dtypes
+    ]
+    return days.select(*extra)
+
+
 # ------------------------------------------------------------------------------------------------ picks
 _O = "o_custkey, o_orderkey, o_orderdate"
 
@@ -477,10 +492,6 @@ def _diff_by_type(spark, d):
 
 
 # ------------------------------------------------------------------------------------------- streaming
-def _checkpoint(spark: SparkSession) -> str:
-    return f"{Warehouse(spark).root}/stream"
-
-
 def _event_stream(spark: SparkSession, d: str) -> DataFrame:
     events = spark.readStream.schema(table(spark, d, "events").schema).option("pathGlobFilter", "events.parquet").parquet(d)
     return events.select(
@@ -545,7 +556,7 @@ def _streamed(spark: SparkSession, d: str) -> Warehouse:
                      "discontinuation_reason", "statuses", "regimens"):
             store.restore({name: full.warehouse.snapshot([name]).get(name) or (full.table(name), full.warehouse.snapshot([name])[name])[1]})
         stream.start_increment(
-            _obs_stream(spark, d), full.rec, store, f"{store.root}/stream", clock=lambda batch: dt.date.fromisoformat(AS_OF),
+            _obs_stream(spark, d), full.rec, store, f"{store.root}/stream", days=lambda batch: [dt.date.fromisoformat(AS_OF)],
             available_now=True,
         ).awaitTermination()
         _STREAMED[key] = store
@@ -571,6 +582,7 @@ def _stream_indicators(spark, d):
     full.table("patient")
     store.restore(full.warehouse.snapshot(["patient"]))
     stream.start_surveillance(
-        _obs_stream(spark, d), full.rec, store, f"{store.root}/stream", available_now=True
+        _obs_stream(spark, d), full.rec, store, f"{store.root}/stream", days=lambda batch: [dt.date.fromisoformat(AS_OF)],
+        available_now=True,
     ).awaitTermination()
     return store.read("indicators")

@@ -72,12 +72,12 @@ def test_buffer_keeps_the_later_edit_and_one_day(spark, chart):
     first = chart.obs(1, 856, number=1.0, created="2001-08-01T08:00:00")
     chart.obs(1, 856, number=2.0, created="2001-07-31T08:00:00")
     rec = chart.record(spark)
-    buffer = buffer_obs(None, rec.obs, "2001-08-01")
+    buffer = buffer_obs(None, rec.obs, "2001-08-01", "date_created")
     assert rows(buffer, "obs_id") == [(first,)]
     edit = rec.obs.filter(F.col("obs_id") == first).withColumn("voided", F.lit(1)).withColumn("comments", F.lit("x"))
-    got = buffer_obs(buffer, edit, "2001-08-01").first()
+    got = buffer_obs(buffer, edit, "2001-08-01", "date_created").first()
     assert (got["voided"], got["comments"]) == (1, None)  # comments are not among the editable columns
-    assert buffer_obs(buffer, edit.limit(0), "2001-08-02").count() == 0
+    assert buffer_obs(buffer, edit.limit(0), "2001-08-02", "date_created").count() == 0
 
 
 def test_stream_of_two_batches_equals_one_batch_run(spark, chart, tmp_path):
