@@ -43,26 +43,32 @@ def directions(dim: int, n: int, seed: int = 7) -> np.ndarray:
     return np.concatenate([np.linalg.qr(rng.normal(size=(dim, dim)))[0].T for _ in range(-(-n // dim))])[:n]
 
 
-def verified(order, values, asked, n, width, k, threshold, enough, widen, exact):
-    """One query in one block: positions whose count of collisions passed, with their exact measure."""
-    m = len(values)
+def verified(lines, order, asked, width, k, threshold, enough, exact):
+    """One query in one block: positions whose count of collisions passed, with their exact measure.
+
+    `lines` are the sorted projections, one line after the other, each lifted by `lift` above the last, so
+    that one search finds all window ends; `order` are the vectors' positions in the same places.
+    """
+    n = len(order) // len(asked)
     counts, seen = np.zeros(n, np.int64), np.zeros(n, bool)
-    low = high = np.array([np.searchsorted(values[i], asked[i]) for i in range(m)])
-    found, scores = [], []
+    low = high = np.searchsorted(lines, asked)
+    first = np.arange(len(asked)) * n
+    found, scores, done = [], [], 0
     while True:
-        a = np.array([np.searchsorted(values[i], asked[i] - width) for i in range(m)])
-        z = np.array([np.searchsorted(values[i], asked[i] + width, side="right") for i in range(m)])
-        newly = [order[i, a[i]:low[i]] for i in range(m)] + [order[i, high[i]:z[i]] for i in range(m)]
-        counts += np.bincount(np.concatenate(newly), minlength=n)
+        a = np.maximum(np.searchsorted(lines, asked - width), first)
+        z = np.minimum(np.searchsorted(lines, asked + width, side="right"), first + n)
+        low, high = np.clip(low, a, z), np.clip(high, a, z)
+        ends = np.stack([a, low, high, z], axis=1).tolist()
+        counts += np.bincount(np.concatenate([x for p, q, r, t in ends for x in (order[p:q], order[r:t])]), minlength=n)
         low, high = a, z
         pick = np.flatnonzero((counts >= threshold) & ~seen)
         seen[pick] = True
         found.append(pick)
         scores.append(exact(pick))
-        done = int(seen.sum())
+        done += len(pick)
         if done == n or done >= max(enough * n, PER_WANTED * k):
             return np.concatenate(found), np.concatenate(scores)
-        width *= widen
+        width *= WIDEN
 
 
 def nearest(
@@ -109,13 +115,14 @@ def nearest(
         ids = right["ids"].combine_chunks().flatten().to_numpy()
         n = len(ids)
         x = right["vectors"].combine_chunks().flatten().to_numpy().reshape(n, dim)
-        values = right["lines"].combine_chunks().flatten().to_numpy().reshape(projections, n)
-        order = right["places"].combine_chunks().flatten().to_numpy().reshape(projections, n)
+        lift = 4 * np.sqrt(bound) * np.arange(projections)  # projections reach from -sqrt(bound) to sqrt(bound)
+        sorted_ = (right["lines"].combine_chunks().flatten().to_numpy().reshape(projections, n) + lift[:, None]).ravel()
+        order = right["places"].combine_chunks().flatten().to_numpy().astype(np.int64)
         out = []
         for me, q in zip(left["id"].to_numpy(), matrix(left["x"], dim)):
             at = lines[:, :dim] @ (q * np.sqrt(bound / (q @ q)))
             pick, score = verified(
-                order, values, at, n, FIRST_WIDTH * typical, k + 1, threshold * projections, enough, WIDEN, lambda p: x[p] @ q
+                sorted_, order, at + lift, FIRST_WIDTH * typical, k + 1, threshold * projections, enough, lambda p: x[p] @ q
             )
             others = ids[pick] != me
             pick, score = pick[others], score[others]
