@@ -204,7 +204,7 @@ class Day:
     """One incremental run over a state of report tables.
 
     `state` names the tables kept between runs: patient, patient_laboratory, virological_tests,
-    patient_dispensing, patient_on_arv, discontinuation_reason, statuses (the history) and regimens.
+    patient_dispensing, patient_on_arv, discontinuation_reason, status_history and regimens.
     `write(name, df)` stores a table and returns it read back; `read(name)` returns a stored one.
     """
 
@@ -241,8 +241,9 @@ class Day:
             ),
         )
         fresh = self._put("statuses_of_day", st.statuses(rows, reasons, as_of))
-        history = self._put("statuses", st.merge_day_status(read("statuses"), fresh))
+        history = self._put("status_history", st.merge_day_status(read("status_history"), fresh))
         current = self._put("current_status", st.current_status(history))
+        self._put("patient_with_status", st.with_status(patient, current))
         regimens = self._put("regimens", regimens_of_day(prescription, patient, read("regimens")))
         summary = rg.patient_summary(patient, current, regimens, dimension(rec.spark, "arv_status"))
         return self._put("patient_summary", summary)

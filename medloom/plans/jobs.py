@@ -6,7 +6,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
-from medloom.operators.merge import delete_matching
 from medloom.plans import increment, status, surveillance
 from medloom.plans.reports import TABLES, Reports
 from medloom.sources.record import Record, created_on
@@ -14,26 +13,13 @@ from medloom.sources.warehouse import Warehouse
 
 
 def full_load(rec: Record, as_of, warehouse: Warehouse) -> dict[str, DataFrame]:
-    """Every report table from the whole record, in dependency order, and the status history.
-
-    The day's statuses join those of earlier days; patients found to be exposed infants leave all of it,
-    reasons are looked up anew for all of it, and each patient's current status comes from it.
-    """
-    tables = Reports(rec, as_of, warehouse).run()
-    old = warehouse.read("status_history") if "status_history" in warehouse else tables["statuses"].limit(0)
-    history = status.merge_history(old, tables["statuses"], as_of)
-    kept = delete_matching(history, tables["exposed_infants"], ["patient_id"]).drop("dis_reason")
-    reasoned = status.attach_reason(kept, tables["discontinuation_reason"]).select(*tables["statuses"].columns)
-    history = warehouse.write("status_history", reasoned)
-    current = warehouse.write("current_status", status.current_status(history))
-    patient = warehouse.write("patient_with_status", status.with_status(tables["patient"], current))
-    return tables | {"status_history": history, "current_status": current, "patient_with_status": patient}
-
-
-def status_history(rec: Record, as_of, warehouse: Warehouse, history: DataFrame) -> DataFrame:
-    """Statuses of the day merged into a history: the day's rows are replaced."""
-    fresh = Reports(rec, as_of, warehouse).table("statuses")
-    return status.merge_history(history, fresh, as_of)
+    """Every report table from the whole record, in dependency order, histories included."""
+    return Reports(rec, as_of, warehouse).run()
+
+
+def status_history(rec: Record, as_of, warehouse: Warehouse) -> DataFrame:
+    """Statuses of the day merged into those of earlier runs."""
+    return Reports(rec, as_of, warehouse).table("status_history")
 
 
 def legacy_import(history: DataFrame, legacy: DataFrame, patient: DataFrame, since="2019-09-01") -> DataFrame:

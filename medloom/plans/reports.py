@@ -1,7 +1,7 @@
 """A report run: every table by name, built from the record and from the tables it depends on.
 
 A builder is a function whose parameters name what it reads: `rec` (the record), `as_of` (the day of
-the run) or other report tables. Tables that others read are written to the warehouse once, so that
+the run), `before` (its own table as an earlier run left it, None at first) or other report tables. Tables that others read are written to the warehouse once, so that
 lineage stays short, a lost executor costs one stage, and no table is computed twice.
 """
 
@@ -22,16 +22,26 @@ from medloom.sources.record import Record
 from medloom.sources.warehouse import Warehouse
 
 
-def regimens(patient_prescription: DataFrame, patient: DataFrame, rec: Record) -> DataFrame:
-    return rg.regimens(patient_prescription, patient, dimension(rec.spark, "regimen"))
+def regimens(before: DataFrame | None, patient_prescription: DataFrame, patient: DataFrame, rec: Record) -> DataFrame:
+    """Regimens of this run added to those of earlier ones, without days whose prescription was voided since."""
+    fresh = rg.regimens(patient_prescription, patient, dimension(rec.spark, "regimen"))
+    return fresh if before is None else rg.merge_regimens(before, patient_prescription, fresh)
+
+
+def status_history(
+    before: DataFrame | None, statuses: DataFrame, exposed_infants: DataFrame, discontinuation_reason: DataFrame, as_of
+) -> DataFrame:
+    """The statuses of all runs: the day's rows are replaced, exposed infants leave, reasons are looked up anew."""
+    history = statuses if before is None else st.merge_history(before, statuses, as_of)
+    return st.refresh_history(history, exposed_infants, discontinuation_reason)
 
 
 def patient_with_status(patient: DataFrame, current_status: DataFrame) -> DataFrame:
     return st.with_status(patient, current_status)
 
 
-def current_status(statuses: DataFrame) -> DataFrame:
-    return st.current_status(statuses)
+def current_status(status_history: DataFrame) -> DataFrame:
+    return st.current_status(status_history)
 
 
 def patient_summary(patient: DataFrame, current_status: DataFrame, regimens: DataFrame, rec: Record) -> DataFrame:
@@ -74,12 +84,12 @@ BUILDERS: dict[str, Callable] = {
         programme.vaccination, programme.patient_on_art,
         surveillance.diagnosis_answer, surveillance.patient_diagnosis, surveillance.indicators, surveillance.weekly_indicators,
         immunisation.patient_immunization, immunisation.immunization_dose,
-        st.exposed_infants, st.status_rows, st.statuses, current_status, patient_with_status,
+        st.exposed_infants, st.status_rows, st.statuses, status_history, current_status, patient_with_status,
         regimens, patient_summary, alert_inputs, alerts, first_alerts,
     )
 }
 # The tables a full run leaves behind, in the order in which it writes them.
-TABLES = [n for n in BUILDERS if n not in ("alert_inputs", "patient_with_status")]
+TABLES = [n for n in BUILDERS if n != "alert_inputs"]
 
 
 def needs(name: str) -> list[str]:
@@ -113,6 +123,7 @@ class Reports:
         self.as_of = as_of
         self.warehouse = warehouse or Warehouse(rec.spark)
         self._built: set[str] = set()
+        self._before: dict[str, DataFrame | None] = {}
 
     def build(self, name: str, **options) -> DataFrame:
         """The table as a query over its inputs; the inputs themselves are written first.
@@ -128,12 +139,21 @@ class Reports:
                 args[p] = self.rec
             elif p == "as_of":
                 args[p] = self.as_of
+            elif p == "before":
+                args[p] = self._earlier(name)
             elif p in BUILDERS:
                 args[p] = self.table(p)
         return builder(**args)
 
+    def _earlier(self, name: str) -> DataFrame | None:
+        """The table as it was before this run."""
+        if name not in self._before:
+            self._before[name] = self.warehouse.read(name) if name in self.warehouse else None
+        return self._before[name]
+
     def table(self, name: str):
-        """The table, written to the warehouse on first use in this run; what an earlier run left is replaced."""
+        """The table, written to the warehouse on first use in this run; what an earlier run left is replaced or, by
+        builders that take `before`, added to."""
         if name == "alert_inputs":
             return self.build(name)
         if name not in self._built:

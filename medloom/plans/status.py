@@ -252,6 +252,13 @@ def merge_history(history: DataFrame, fresh: DataFrame, as_of) -> DataFrame:
     return history.filter(~day("date_started_status").eqNullSafe(_today(as_of))).unionByName(fresh)
 
 
+def refresh_history(history: DataFrame, exposed_infants: DataFrame, reasons: DataFrame) -> DataFrame:
+    """A history without exposed infants, reasons looked up anew; a row for which none is found keeps its own."""
+    kept = delete_matching(history, exposed_infants, ["patient_id"]).withColumnRenamed("dis_reason", "_own")
+    found = attach_reason(kept, reasons).withColumn("dis_reason", F.coalesce("dis_reason", "_own"))
+    return found.select(*history.columns)
+
+
 def merge_day_status(history: DataFrame, fresh: DataFrame) -> DataFrame:
     """Incremental merge: drop rows the fresh batch repeats, then add one row per patient.
 

@@ -12,14 +12,16 @@ from medloom.operators import diff, match, merge, pick
 from medloom.operators.eav import count_codes
 from medloom.plans import alerts as al, immunisation, regimens as rg, status as st
 from medloom.plans.pharmacy import still_on_arv
+from medloom.plans.reports import Reports
 from medloom.sources.codes import Codes
 from medloom.sources.dimensions import dimension, rows as dimension_rows
 from medloom.sources.record import DICTIONARY_TABLES, created_on, parquet_reader, snapshot
 from medloom.sources.warehouse import Warehouse, shared_folder
 from medloom.streaming import increment as stream
+from oracle.compose import sql
 from oracle.marts_sql import TODAY, c
 from oracle.recast import AS_OF, CATALOGUE, IDS
-from oracle.registry import _rule, register
+from oracle.registry import ORACLES, _rule, register
 from oracle.spark_record import reports, stage
 
 SPLIT = "2000-01-01"
@@ -236,6 +238,22 @@ UNION ALL SELECT * FROM statuses""",
             r.table("statuses").withColumn("id_status", F.lit(99))),
         r.table("statuses"), r.as_of),
 )
+#: The day of an earlier run.
+EARLIER = "2001-06-15"
+
+
+@register("two_day_history")
+def _two_days(spark, d):
+    """Two full runs on one warehouse: the statuses of both days, without patients found to be exposed infants since."""
+    rec, store = reports(spark, d).rec, Warehouse(spark)
+    Reports(rec, EARLIER, store).table("status_history")
+    return Reports(rec, AS_OF, store).table("status_history")
+
+
+ORACLES["two_day_history"] = f"""
+SELECT * FROM ({sql("statuses").replace(TODAY, f"DATE '{EARLIER}'")}) WHERE patient_id NOT IN (SELECT patient_id FROM ({sql("exposed_infants")}))
+UNION ALL SELECT * FROM ({sql("statuses")})"""
+
 _rule(
     "merge_regimens", """
 SELECT r.* FROM regimens r""",
@@ -553,7 +571,7 @@ def _streamed(spark: SparkSession, d: str) -> Warehouse:
     if key not in _STREAMED:
         full, store = reports(spark, d), Warehouse(spark)
         for name in ("patient", "patient_laboratory", "virological_tests", "patient_dispensing", "patient_on_arv",
-                     "discontinuation_reason", "statuses", "regimens"):
+                     "discontinuation_reason", "status_history", "regimens"):
             store.restore({name: full.warehouse.snapshot([name]).get(name) or (full.table(name), full.warehouse.snapshot([name])[name])[1]})
         stream.start_increment(
             _obs_stream(spark, d), full.rec, store, f"{store.root}/stream", days=lambda batch: [dt.date.fromisoformat(AS_OF)],
@@ -567,7 +585,7 @@ for _key, _name, _text in (
     ("stream_day_dispensing", "dispensing_of_day", "dispensing_day"),
     ("stream_day_laboratory", "patient_laboratory", "lab_day"),
     ("stream_day_statuses", "statuses_of_day", "statuses_day"),
-    ("stream_day_status_history", "statuses", "history_day"),
+    ("stream_day_status_history", "status_history", "history_day"),
 ):
     register(_key, _text)(lambda spark, d, n=_name: _streamed(spark, d).read(n))
 

@@ -96,7 +96,7 @@ def _day(spark: SparkSession, d: str) -> Warehouse:
         full, after = reports(spark, d), Warehouse(spark)
         state = (
             "patient", "patient_laboratory", "virological_tests", "patient_dispensing", "patient_on_arv",
-            "discontinuation_reason", "statuses", "regimens",
+            "discontinuation_reason", "status_history", "regimens",
         )
         run = Day(
             full.rec, full.as_of, lambda n: after.read(n) if n in after or n not in state else full.table(n), after.write
@@ -116,7 +116,7 @@ for _key, _table, _text in (
     ("day_virology", "virological_tests", "virology_day"),
     ("day_exposed_infants", "infants_of_day", "infants_day"),
     ("day_statuses", "statuses_of_day", "statuses_day"),
-    ("day_status_history", "statuses", "history_day"),
+    ("day_status_history", "status_history", "history_day"),
     ("day_regimens", "regimens", "regimens_day"),
 ):
     register(_key, _text)(lambda spark, d, t=_table: _day(spark, d).read(t))

@@ -65,6 +65,23 @@ def test_a_second_run_on_another_day_is_built_anew_and_keeps_the_history(spark,
     assert {r["id_status"] for r in first} == {6} and {r["id_status"] for r in second} == {9}
 
 
+def test_full_runs_add_to_the_statuses_and_regimens_of_earlier_ones(spark, chart):
+    chart.patient(1)
+    chart.visit(1, 1, "2001-06-01", "dispensing")
+    chart.dispense(1, 84795, "2001-07-01", rx=138405)
+    rec, store = chart.record(spark), Warehouse(spark)
+    history = JOBS["status_history"]
+    assert rows(history(rec, "2001-06-20", store), "patient_id", "id_status") == [(1, 6)]
+    for _ in range(2):  # the same day again replaces its own rows
+        assert rows(history(rec, "2001-12-20", store), "patient_id", "id_status") == [(1, 6), (1, 9)]
+    later = Reports(rec, "2001-12-20", store)
+    assert rows(later.table("current_status"), "patient_id", "arv_status") == [(1, 9)]
+    fresh = Reports(rec, "2001-12-20").table("regimens")
+    old = spark.createDataFrame([(1, 7, dt.date(2000, 1, 1), "AZT", 1)], "location_id int, patient_id int, visit_date date, regimen string, rx_or_prophy int")
+    store.write("regimens", old.select(*[F.col(f.name).cast(f.dataType) for f in fresh.schema]))
+    assert (7, "AZT") in rows(later.table("regimens"), "patient_id", "regimen")
+
+
 def test_append_after_a_snapshot_leaves_the_snapshot(spark):
     store = Warehouse(spark)
     store.write("t", spark.range(5))

@@ -96,7 +96,7 @@ def test_stream_of_two_batches_equals_one_batch_run(spark, chart, tmp_path):
     full = Reports(rec.replace(obs=obs.limit(0)), "2001-08-01")
     store = full.warehouse
     for name in ("patient", "patient_laboratory", "virological_tests", "patient_dispensing", "patient_on_arv",
-                 "discontinuation_reason", "statuses", "regimens"):
+                 "discontinuation_reason", "status_history", "regimens"):
         full.table(name)
     reader = spark.readStream.schema(obs.schema).option("maxFilesPerTrigger", 1).parquet(source)
     for _ in range(2):  # the second start finds nothing new
@@ -104,7 +104,7 @@ def test_stream_of_two_batches_equals_one_batch_run(spark, chart, tmp_path):
     assert rows(store.read("dispensing_of_day"), "patient_id", "next_dispensation_date") == [
         (1, dt.date(2001, 8, 15)), (2, dt.date(2001, 8, 15))
     ]
-    assert rows(store.read("statuses"), "patient_id", "id_status") == [(1, 6), (2, 6)]
+    assert rows(store.read("status_history"), "patient_id", "id_status") == [(1, 6), (2, 6)]
 
 
 # One query per family; `python -m oracle.check` runs all of them at a larger scale.
