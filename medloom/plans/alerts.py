@@ -300,4 +300,4 @@ def first_alerts(x: AlertInputs) -> DataFrame:
 
 def labelled(rows: DataFrame, lookup: DataFrame) -> DataFrame:
     """Alerts with their messages; codes without a message keep NULL."""
-    return rows.join(F.broadcast(lookup.withColumnRenamed("id", "id_alert")), "id_alert", "left")
+    return rows.join(lookup.withColumnRenamed("id", "id_alert"), "id_alert", "left")

@@ -12,9 +12,9 @@ from medloom.sources.record import Record, created_on
 from medloom.sources.warehouse import Warehouse
 
 
-def full_load(rec: Record, as_of, warehouse: Warehouse) -> dict[str, DataFrame]:
-    """Every report table from the whole record, in dependency order, histories included."""
-    return Reports(rec, as_of, warehouse).run()
+def full_load(rec: Record, as_of, warehouse: Warehouse, at_once: int = 4) -> dict[str, DataFrame]:
+    """Every report table from the whole record, in dependency order, `at_once` side by side, histories included."""
+    return Reports(rec, as_of, warehouse).run(at_once=at_once)
 
 
 def status_history(rec: Record, as_of, warehouse: Warehouse) -> DataFrame:

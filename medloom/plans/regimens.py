@@ -27,7 +27,7 @@ def regimen_events(prescription: DataFrame, patient: DataFrame, regimen: DataFra
     valid = (
         prescription.filter(not_voided() & F.col("visit_date").isNotNull())
         .withColumn("drug_id", F.col("drug_id").cast("long"))
-        .join(F.broadcast(listed), "drug_id", "left_semi")
+        .join(listed, "drug_id", "left_semi")
     )
     sets = valid.groupBy(*SITE_DAY).agg(
         F.collect_set("drug_id").alias("_drugs"),
@@ -37,7 +37,7 @@ def regimen_events(prescription: DataFrame, patient: DataFrame, regimen: DataFra
     )
     sets = sets.filter(F.size("_first") > 0).join(patient.select("patient_id"), "patient_id", "left_semi")
     firsts = sets.select(*SITE_DAY, "_drugs", F.explode("_first").alias("_f"))
-    matched = firsts.join(F.broadcast(catalogue), F.col("_f.d") == F.col("drug1")).filter(
+    matched = firsts.join(catalogue, F.col("_f.d") == F.col("drug1")).filter(
         ((F.col("drug2") == 0) | F.array_contains("_drugs", F.col("drug2").cast("long")))
         & ((F.col("drug3") == 0) | F.array_contains("_drugs", F.col("drug3").cast("long")))
     )
@@ -82,7 +82,7 @@ def patient_summary(
     patient: DataFrame, current_status: DataFrame, regimens: DataFrame, arv_status: DataFrame
 ) -> DataFrame:
     """Regimen, status label, start of treatment and next visit, one row per patient that has any of them."""
-    labels = F.broadcast(arv_status.select(F.col("id").alias("arv_status_id"), F.col("name_fr").alias("arv_status")))
+    labels = arv_status.select(F.col("id").alias("arv_status_id"), F.col("name_fr").alias("arv_status"))
     known = (
         patient.select("patient_id", "date_started_arv", "next_visit_date")
         .join(current_status.select("patient_id", F.col("arv_status").alias("arv_status_id")), "patient_id", "left")

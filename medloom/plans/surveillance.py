@@ -71,9 +71,7 @@ def indicator_rules(spark: SparkSession, concept: DataFrame) -> DataFrame:
 
 def indicator_events(patient_diagnosis: DataFrame, patient: DataFrame, rules: DataFrame) -> DataFrame:
     """One row per rule and diagnosis that satisfies it. One join with the rule table does all rules."""
-    rule = F.broadcast(
-        rules.select("rule_id", "written_type", "answer_concept_id", F.col("certainty").alias("_certainty"), "label")
-    )
+    rule = rules.select("rule_id", "written_type", "answer_concept_id", F.col("certainty").alias("_certainty"), "label")
     known = patient_diagnosis.filter((F.col("concept_id") == DIAGNOSIS) & not_voided()).join(
         patient.select("patient_id"), "patient_id", "left_semi"
     )

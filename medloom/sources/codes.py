@@ -169,5 +169,5 @@ def resolve(df: DataFrame, dictionary: DataFrame, uuid_col: str, id_col: str) ->
     """Add `id_col` to a lookup dimension by its UUID. The dimension is small; the dictionary may not be."""
     ids = dictionary.select(
         F.col("uuid").alias(uuid_col), F.col(dictionary.columns[0]).alias(id_col)
-    ).join(F.broadcast(df.select(uuid_col).distinct()), uuid_col, "left_semi")
+    ).join(df.select(uuid_col).distinct(), uuid_col, "left_semi")
     return df.join(ids, uuid_col, "left")

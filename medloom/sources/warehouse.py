@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import time
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -112,6 +114,29 @@ class Warehouse:
         """Forget a table: an empty pointer makes it absent. Its files stay until the folder is cleaned."""
         self._point(name, [])
 
+    def expire(self, name: str, older_than: dt.timedelta) -> int:
+        """Remove versions of a table that were replaced longer ago than `older_than`; returns how many.
+
+        The current version stays, whatever its age, and so do folders that a remaining version names or that lie
+        outside this warehouse. Snapshots older than that can no longer be restored.
+        """
+        folder, fs = self._pointers(name)
+        path = self.spark._jvm.org.apache.hadoop.fs.Path
+        numbers = [n for n in self._numbers(name) if fs.exists(path(f"{folder.toString()}/{n:09d}/_SUCCESS"))]
+        written = [fs.getFileStatus(path(f"{folder.toString()}/{n:09d}/_SUCCESS")).getModificationTime() for n in numbers]
+        limit = (time.time() - older_than.total_seconds()) * 1000
+        gone = [n for n, replaced in zip(numbers, written[1:]) if replaced < limit]
+        if not gone:
+            return 0
+        named = {n: [r[0] for r in self.spark.read.text(f"{folder.toString()}/{n:09d}").collect()] for n in numbers}
+        kept = {p for n in numbers if n not in gone for p in named[n]}
+        for n in gone:
+            for p in named[n]:
+                if p not in kept and p.startswith(f"{self.root}/"):
+                    fs.delete(path(p), True)
+            fs.delete(path(f"{folder.toString()}/{n:09d}"), True)
+        return len(gone)
+
     def snapshot(self, names: list[str]) -> dict[str, list[str]]:
         """Remember the current version of tables; versions never change."""
         return {n: paths for n in names if (paths := self._paths(n)) is not None}

@@ -57,17 +57,22 @@ def start_increment(
     sequence: str = "date_created",
     available_now: bool = False,
     every: str = EVERY,
+    keep: dt.timedelta = dt.timedelta(days=1),
 ) -> StreamingQuery:
     """Run the chain of jobs on every micro-batch.
 
     `warehouse` holds the report tables of the last full run and receives the new ones. `days` names the
     days of a batch to run, all by default. `sequence` orders edits of one observation inside a batch.
+    Versions of tables that were replaced longer than `keep` ago are removed after a batch.
     """
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         for as_of in days(batch):
             obs = merge_into_buffer(warehouse, "obs_buffer", batch, as_of, sequence)
-            Day(rec, as_of, warehouse.read, warehouse.write).run(obs)
+            run = Day(rec, as_of, warehouse.read, warehouse.write)
+            run.run(obs)
+            for name in [f"obs_buffer_{as_of:%Y%m%d}", *run.done]:
+                warehouse.expire(name, keep)
 
     return _start(obs_stream, on_batch, checkpoint, available_now, every)
 

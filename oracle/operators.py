@@ -11,6 +11,7 @@ from medloom.functions import scalars as fn
 from medloom.operators import diff, match, merge, pick
 from medloom.operators.eav import count_codes
 from medloom.plans import alerts as al, immunisation, regimens as rg, status as st
+from medloom.plans.jobs import JOBS
 from medloom.plans.pharmacy import still_on_arv
 from medloom.plans.reports import Reports
 from medloom.sources.codes import Codes
@@ -21,7 +22,7 @@ from medloom.streaming import increment as stream
 from oracle.compose import sql
 from oracle.marts_sql import TODAY, c
 from oracle.recast import AS_OF, CATALOGUE, IDS
-from oracle.registry import ORACLES, _rule, register
+from oracle.registry import ORACLES, STATE, _rule, register
 from oracle.spark_record import reports, stage
 
 SPLIT = "2000-01-01"
@@ -219,6 +220,26 @@ SELECT patient_id, id_status, insertdate::DATE, NULL, NULL, insertdate::DATE FRO
 )
 
 
+# The jobs a scheduler calls, each on a warehouse of its own.
+for _job, _text, _call in (
+    ("status_history", "statuses", lambda r, s: JOBS["status_history"](r.rec, r.as_of, s)),
+    ("diagnosis", "patient_diagnosis", lambda r, s: JOBS["diagnosis"](r.rec, r.as_of, s)),
+    ("report_indicators", "indicators", lambda r, s: JOBS["report_indicators"](r.rec, r.as_of, s)),
+    ("daily_run", "regimens_day", lambda r, s: _after_day(r, s).read("regimens")),
+    ("full_load", "alerts", lambda r, s: JOBS["full_load"](r.rec, r.as_of, s)["alerts"]),
+):
+    _rule(f"job_{_job}", _text, lambda r, call=_call: call(r, Warehouse(r.rec.spark)))
+
+
+def _after_day(r, store):
+    """A warehouse with the tables the day's run needs, after the run."""
+    for name in STATE:
+        r.table(name)
+    store.restore(r.warehouse.snapshot(list(STATE)))
+    JOBS["daily_run"](r.rec, r.as_of, store)
+    return store
+
+
 def _ROOT(r):
     return stage(r.rec.spark, next(d for (app, d), v in _reports().items() if v is r))
 
@@ -570,8 +591,7 @@ def _streamed(spark: SparkSession, d: str) -> Warehouse:
     key = (spark.sparkContext.applicationId, d)
     if key not in _STREAMED:
         full, store = reports(spark, d), Warehouse(spark)
-        for name in ("patient", "patient_laboratory", "virological_tests", "patient_dispensing", "patient_on_arv",
-                     "discontinuation_reason", "status_history", "regimens"):
+        for name in STATE:
             store.restore({name: full.warehouse.snapshot([name]).get(name) or (full.table(name), full.warehouse.snapshot([name])[name])[1]})
         stream.start_increment(
             _obs_stream(spark, d), full.rec, store, f"{store.root}/stream", days=lambda batch: [dt.date.fromisoformat(AS_OF)],

@@ -86,6 +86,11 @@ for _key, _fn in zip(
 
 
 # The incremental run over the observations entered on the day, one query per job.
+#: The tables an incremental run starts from.
+STATE = (
+    "patient", "patient_laboratory", "virological_tests", "patient_dispensing", "patient_on_arv",
+    "discontinuation_reason", "status_history", "regimens",
+)
 _DAYS: dict[tuple[str, str], Warehouse] = {}
 
 
@@ -94,12 +99,8 @@ def _day(spark: SparkSession, d: str) -> Warehouse:
     key = (spark.sparkContext.applicationId, d)
     if key not in _DAYS:
         full, after = reports(spark, d), Warehouse(spark)
-        state = (
-            "patient", "patient_laboratory", "virological_tests", "patient_dispensing", "patient_on_arv",
-            "discontinuation_reason", "status_history", "regimens",
-        )
         run = Day(
-            full.rec, full.as_of, lambda n: after.read(n) if n in after or n not in state else full.table(n), after.write
+            full.rec, full.as_of, lambda n: after.read(n) if n in after or n not in STATE else full.table(n), after.write
         )
         run.run(obs_of_day(full.rec.obs, full.as_of))
         _DAYS[key] = after
