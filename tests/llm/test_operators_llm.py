@@ -150,6 +150,40 @@ def test_near_duplicates_equal_brute_force(spark, docs, tile):
     assert simhash.near_duplicates(docs([])).count() == 0
 
 
+def test_near_copies_equal_brute_force(spark, docs):
+    r = random.Random(11)
+    rows = ODD + prose(30, 3, 12) + [(200, "Same five Words AS before"), (201, "same  five words as before"), (202, None), (None, "no id at all")]
+    for i in range(25):
+        w = [r.choice(WORDS) + str(r.randint(0, 999)) for _ in range(r.randint(8, 200))]
+        for k in range(4):  # from a little to much changed
+            rows.append((1000 - 10 * i + k, " ".join(x if r.random() > 0.012 * k else "other" for x in w)))
+
+    def shingles(t):
+        w = (t or "").encode().lower().split()
+        return {tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))}
+
+    sets, root, missed = [shingles(t) for _, t in rows], list(range(len(rows))), 0
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a in range(len(rows)):
+        for b in range(a):
+            if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]):
+                missed += (brute_print(rows[a][1], 4) ^ brute_print(rows[b][1], 4)).bit_count() > 4
+                root[find(a)] = find(b)
+    assert missed > 10  # pairs that op3's distance leaves
+    least = {}
+    for k, (i, _) in enumerate(rows):
+        key = (i is None, i or 0)
+        least[find(k)] = min(key, least.get(find(k), key))
+    left = simhash.without_near_copies(docs(rows))
+    assert sorted((x["doc_id"] is None, x["doc_id"] or 0) for x in left.collect()) == sorted(least.values())
+    assert left.columns == docs([]).columns and simhash.without_near_copies(docs([])).count() == 0
+
+
 def test_links_of_a_crowded_cell_and_their_components(spark):
     r = random.Random(8)
     base, fps = r.getrandbits(64), set()
