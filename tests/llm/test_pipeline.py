@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 from medloom.llm.common import read, stored
-from test_operators_llm import base_spans, brute_print, brute_repeats
+from .test_operators_llm import ODD, base_spans, brute_print, brute_repeats
 
 SF = "/root/testdata/sf0.001"
 
