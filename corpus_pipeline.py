@@ -28,8 +28,8 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that with the smallest id, of each group of near copies: five-word shingles, similarity 0.8 or more."""
-    return simhash.without_near_copies(docs, words=5, similarity=0.8)
+    """One document, that with the smallest id, of each group whose fingerprints are linked: shingles of four words, four bits."""
+    return simhash.without_near_duplicates(docs, words=4, max_bits=4)
 
 
 def repeat_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
