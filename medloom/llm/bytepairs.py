@@ -42,6 +42,24 @@ def byte_characters() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(256 + n): b for n, b in enumerate(b for b in range(256) if b not in own)}
 
 
+class Runs(dict):
+    """What has been found for runs, computed on first use; the two latest fills of `REMEMBERED` short runs stay."""
+
+    def __init__(self, compute):
+        super().__init__()
+        self.compute, self.older = compute, {}
+
+    def __missing__(self, run: str):
+        if (got := self.older.get(run)) is None:
+            got = self.compute(run)
+        if len(run) <= SHORT:
+            if len(self) >= REMEMBERED:
+                self.older = dict(self)
+                self.clear()
+            self[run] = got
+        return got
+
+
 class BytePairs:
     """Merges, ids and special strings of a byte-level BPE file."""
 
@@ -69,7 +87,7 @@ class BytePairs:
         longest_first = sorted(self.special, key=len, reverse=True)
         self.apart = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")") if longest_first else None
         self.find, self.library = regex.compile(public_tokenizers.PATTERN).findall, Tokenizer.from_file(path).pre_tokenizer
-        self.now, self.older = {}, {}
+        self.runs = Runs(self._run)
 
     def words(self, run: str) -> list[str]:
         if run.isascii() or "Cn" not in map(unicodedata.category, run):
@@ -117,19 +135,10 @@ class BytePairs:
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.bytes.__getitem__, ids))
 
-    def run(self, run: str) -> tuple[str, int, bytes]:
+    def _run(self, run: str) -> tuple[str, int, bytes]:
         """Of a run of words: its ids as decimals joined by commas, how many, and the bytes that they decode to."""
-        got = self.now.get(run)
-        if got is None:
-            got = self.older.get(run)
-            if got is None:
-                ids = [i for w in self.words(run) for i in self.encode_word(w.encode())]
-                got = (",".join(map(str, ids)), len(ids), self.decode(ids))
-            if len(run) <= SHORT:
-                if len(self.now) >= REMEMBERED:
-                    self.older, self.now = self.now, {}
-                self.now[run] = got
-        return got
+        ids = [i for w in self.words(run) for i in self.encode_word(w.encode())]
+        return ",".join(map(str, ids)), len(ids), self.decode(ids)
 
     def text(self, text: str) -> tuple[str, int, bytes]:
         """The same of a whole text."""
@@ -139,7 +148,7 @@ class BytePairs:
             if k % 2:
                 found.append((str(self.special[part]), 1, self.bytes[self.special[part]]))
             elif part:
-                found.extend(map(self.run, _RUN.split(part)))
+                found.extend(map(self.runs.__getitem__, _RUN.split(part)))
         if not found:
             return "", 0, b""
         ids, n, back = zip(*found)
@@ -161,15 +170,23 @@ def encode_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
     prepare(docs.sparkSession)
     sha = lambda b: hashlib.sha256(b).hexdigest()
 
+    def legible(back: bytes) -> bytes:
+        """The bytes of the decoded text: they themselves, where they are UTF-8."""
+        try:
+            back.decode()
+            return back
+        except UnicodeDecodeError:
+            return back.decode(errors="replace").encode()
+
     def run(batches):
         code = pairs_of(path).text
         for b in batches:
-            rows = [(n, ids, back.decode(errors="replace")) for ids, n, back in map(code, b["text"].to_pylist())]
+            rows = [(n, ids, legible(back)) for ids, n, back in map(code, b["text"].to_pylist())]
             cols = [b["doc_id"], pa.array([n for n, _, _ in rows], pa.int64())]
-            cols += [pa.array([sha(ids.encode()) for _, ids, _ in rows], pa.string()), pa.array([sha(t.encode()) for _, _, t in rows], pa.string())]
+            cols += [pa.array([sha(ids.encode()) for _, ids, _ in rows], pa.string()), pa.array([sha(t) for _, _, t in rows], pa.string())]
             names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
             if with_ids:
-                cols += [pa.array([list(map(int, ids.split(","))) if ids else [] for _, ids, _ in rows], pa.list_(pa.int32())), pa.array([t for _, _, t in rows], pa.string())]
+                cols += [pa.array([list(map(int, ids.split(","))) if ids else [] for _, ids, _ in rows], pa.list_(pa.int32())), pa.array([t.decode() for _, _, t in rows], pa.string())]
                 names += ["ids", "decoded"]
             yield pa.RecordBatch.from_arrays(cols, names)
 

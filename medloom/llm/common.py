@@ -6,11 +6,11 @@ import os
 import uuid
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows in an Arrow batch. Texts are a few kB each, so a batch stays at some MB, long texts included.
-BATCH_ROWS = 1000
+#: Rows and bytes in an Arrow batch, whichever is reached first: a batch of long texts has fewer rows.
+BATCH_ROWS, BATCH_BYTES = 1000, 32 << 20
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,11 +24,31 @@ def prepare(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     folder goes on their path.
     """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     root, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
     if root not in env.get("PYTHONPATH", "").split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(filter(None, [env.get("PYTHONPATH"), root]))
 
 
+def whole_row(df: DataFrame, without: str | None = None) -> Column:
+    """All columns in one, whatever their names hold."""
+    return F.struct(*[F.col("`" + c.replace("`", "``") + "`") for c in df.columns if c != without])
+
+
+#: Hashes that `chosen` compares are below.
+HASHES = (1 << 63) - 1
+
+
+def bound_for(about: int, total: int) -> int:
+    """The hash below which about `about` of `total` rows lie; never 0, however many rows there are."""
+    return min(HASHES, max(1, HASHES * about // max(1, total)))
+
+
+def chosen(bound: int, *by: str, salt: str) -> Column:
+    """Whether a row's hash is below the bound."""
+    return F.shiftrightunsigned(F.xxhash64(*by, F.lit(salt)), 1) < F.lit(bound)
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder that all machines share: the one the cluster names, else one beside its tables."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")

@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from medloom.llm.bytepairs import byte_characters
 from medloom.llm.common import prepare, stored
 
 #: Words a worker remembers; the two latest fills stay.
@@ -37,8 +38,8 @@ REMEMBERED = 400_000
 class ByteTokenizer:
     """Ids of a byte-level BPE file, as little-endian unsigned 32-bit integers.
 
-    A token never crosses a space that stands before a word, so words are encoded one by one and
-    remembered; the library cuts and merges them.
+    The file's special strings have ids of their own. A token never crosses a space that stands before a
+    word, so words are encoded one by one and remembered; the library cuts and merges them.
     """
 
     def __init__(self, path: str):
@@ -51,13 +52,21 @@ class ByteTokenizer:
             raise ValueError("a byte-level BPE file without normalisation is needed")
         import public_tokenizers
 
-        byte = _bytes_of_characters()
-        special = {t["content"] for t in form.get("added_tokens", ())}
+        byte, added = byte_characters(), form.get("added_tokens", ())
+        if any(t[k] for t in added for k in ("lstrip", "rstrip", "single_word")):
+            raise ValueError("special strings that strip or need their neighbours are not known")
+        special = {t["content"]: np.array([t["id"]], dtype="<u4").tobytes() for t in added}
+        self.special = special
+        self.apart = re.compile("(" + "|".join(map(re.escape, sorted(special, key=len, reverse=True))) + ")") if special else None
         ranks = {bytes(byte[c] for c in t): i for t, i in form["model"]["vocab"].items() if t not in special}
         self.encode = tiktoken.Encoding("file", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
         self.now, self.older = {}, {}
 
     def __call__(self, text: str) -> bytes:
+        parts = self.apart.split(text) if self.apart else [text]  # every second one is a special string
+        return b"".join(self.special[p] if k % 2 else self.plain(p) for k, p in enumerate(parts))
+
+    def plain(self, text: str) -> bytes:
         now, out = self.now, []
         for w in _SPACE.split(text):
             got = now.get(w)
@@ -78,13 +87,6 @@ class ByteTokenizer:
 _SPACE = re.compile(r"(?= \S)")
 
 
-def _bytes_of_characters() -> dict[str, int]:
-    """The byte that each character of a byte-level vocabulary stands for: printable ones themselves, others from 256 on."""
-    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    rest = [b for b in range(256) if b not in own]
-    return {chr(b): b for b in own} | {chr(256 + n): b for n, b in enumerate(rest)}
-
-
 _TOKENIZERS: dict[str, ByteTokenizer] = {}
 
 

@@ -5,7 +5,8 @@ leftmost) is joined, its new neighbours enter the agenda, and pairs whose symbol
 are skipped. What is no piece falls back to its bytes. Decoding turns pieces and byte runs back into text.
 
 Each Arrow batch sends every word it meets for the first time through the sentencepiece library too, both
-ways, and stops on a difference. As no piece crosses the start of a word, that covers whole texts; a
+ways, and stops on a difference; of words put together from a stem and an end of punctuation, between which
+no piece reaches, the stem and the first word with each end. As no piece crosses the start of a word, that covers whole texts; a
 vocabulary with such pieces is encoded text by text instead, and checked so.
 
 Null text counts as empty; empty text has no ids. Rows are returned as often as they come; other columns
@@ -27,8 +28,8 @@ from medloom.llm.counts import MARK, PieceRanks, ranks_of
 
 #: Characters that an end of a word consists of.
 MARKS = string.punctuation
-#: Words a worker remembers; the two latest fills stay.
-REMEMBERED = 600_000
+#: Words a worker remembers, the two latest fills; longer ones than `SHORT` are forgotten after their batch.
+REMEMBERED, SHORT = 600_000, 64
 
 
 def encode_word(word: str, ranks: PieceRanks) -> list[int]:
@@ -84,10 +85,13 @@ class Words:
     """Ids and text of the words a worker has met; the two latest fills of `REMEMBERED` words stay."""
 
     def __init__(self, ranks: PieceRanks):
-        self.ranks, self.now, self.older, self.ends, self.checked = ranks, {}, {}, {}, {}
+        self.ranks, self.now, self.older, self.ends, self.checked, self.long = ranks, {}, {}, {}, {}, []
 
     def learn(self, words: set[str]) -> None:
         """Encode and decode new words, and hold both against the library."""
+        for w in self.long:
+            self.now.pop(w, None)
+        self.long = [w for w in words if len(w) > SHORT]
         if len(self.now) >= REMEMBERED:
             self.older, self.now, self.ends = self.now, {}, {}
         now, older, ranks = self.now, self.older, self.ranks
@@ -109,9 +113,13 @@ class Words:
                     now[stem] = got
                     continue
                 met.add(w := stem)
+                if n > SHORT:
+                    self.long.append(stem)
             fresh.append(w)
         self._encode(fresh, fresh)
         new = {e: w for w, _, e in split if e not in self.ends}
+        if len(self.ends) >= REMEMBERED:
+            self.ends, new = {}, {e: w for w, _, e in split}
         self._encode(list(new.values()), [])  # a word with each new end is checked whole
         for end in new:
             ids = encode_word(end, ranks)

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from medloom.llm.common import stored
+from medloom.llm.common import stored, whole_row
 
 # Kinds in their order.
 KINDS = ("email", "ip", "card", "phone")
@@ -196,7 +196,10 @@ def masked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     spans = all_spans(docs, id_col, text_col).select(
         F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"), F.array_sort(F.transform("all", lambda x: F.struct(x["s"].alias("s"), x["k"].alias("k"), x["e"].alias("e")))).alias("_spans")
     ).filter(F.size("_spans") > 0).dropDuplicates(["_id", "_mark"])
-    text = F.col(text_col)
+    rows = docs.select(whole_row(docs).alias("row")).select(
+        "row", F.col("row").getField(text_col).alias("text"), F.col("row").getField(id_col).cast("long").alias("id")
+    )
+    text = F.col("text")
     name = lambda x: F.element_at(F.array(*[F.lit(f"[{k}]") for k in KINDS]), x["k"] + 1)
 
     def step(acc, x):
@@ -209,6 +212,6 @@ def masked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
         "_spans", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step,
         lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))),
     )
-    on = F.col(id_col).cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(F.coalesce(text, F.lit(""))) == F.col("_mark"))
+    on = F.col("id").eqNullSafe(F.col("_id")) & (F.xxhash64(F.coalesce(text, F.lit(""))) == F.col("_mark"))
     new = F.when(F.col("_spans").isNull(), text).otherwise(whole)
-    return docs.join(spans, on, "left").withColumn(text_col, new).select(*docs.columns)
+    return rows.join(spans, on, "left").select(*[(new if c == text_col else F.col("row").getField(c)).alias(c) for c in docs.columns])

@@ -5,7 +5,7 @@ table P(vote | class) per labeller is fitted by expectation-maximisation, withou
 counts how often each pattern of votes occurs over all texts (at most 3^8 patterns), and the iterations
 need no more than these counts. The posterior of a text's pattern is its weak label. A linear scorer over
 hashed features, shares of pairs of byte classes and of repeated words, then learns the weak labels of a
-sample bounded by `sample` texts (chosen by a hash of the id) and scores every text.
+sample of about `sample` distinct texts (chosen by a hash of id and text) and scores every text.
 
 Null or empty texts, and those of white space only, score 0 and are rejected. Rows are returned as often as
 they come; other columns are not read, and `kept` returns all of them unchanged.
@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from medloom.llm.common import prepare
+from medloom.llm.common import HASHES, bound_for, chosen, prepare
 
 #: Texts the scorer is fitted on, about; hashed features; words that a text needs to weigh half.
 SAMPLE, BUCKETS, SHORT = 10_000, 512, 20
@@ -188,8 +188,6 @@ def fit(docs: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col:
         return Model({}, np.zeros(BUCKETS + 1))
     good = fit_votes(seen["pattern"].to_numpy(), seen["n"].to_numpy().astype(float))
     posterior = dict(zip(seen["pattern"].tolist(), good.tolist()))
-    per_million = int(min(1, sample / seen["n"].sum()) * 1_000_000)
-
     def learn(batches):
         for b in batches:
             got = [(features(f), posterior[pattern(f)]) for f in map(facts, b["text"].to_pylist()) if f is not None]
@@ -197,10 +195,13 @@ def fit(docs: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col:
                 [pa.array([x.astype(np.float32) for x, _ in got], pa.list_(pa.float32())), pa.array([y for _, y in got], pa.float64())], ["x", "y"]
             )
 
-    chosen = rows.filter(F.pmod(F.xxhash64("id", F.lit("quality")), F.lit(1_000_000)) < per_million)
-    got = chosen.mapInArrow(learn, "x array<float>, y double").toArrow()
+    # Copies of a row count once. Where a few rows are nearly all, the hash may miss them at first.
+    bound, got = bound_for(sample, int(seen["n"].sum())), None
+    while got is None or not got.num_rows and bound < HASHES:
+        some = rows.filter(chosen(bound, "id", "text", salt="quality")).dropDuplicates(["id", "text"])
+        got, bound = some.mapInArrow(learn, "x array<float>, y double").toArrow(), min(HASHES, 1000 * bound)
     if not got.num_rows:
-        return Model(posterior, np.zeros(BUCKETS + 1))
+        raise RuntimeError("no text was sampled")
     x = got["x"].combine_chunks().flatten().to_numpy().reshape(-1, BUCKETS).astype(np.float64)
     return Model(posterior, fit_scorer(x, got["y"].to_numpy()))
 

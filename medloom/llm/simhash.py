@@ -23,25 +23,18 @@ from __future__ import annotations
 import itertools
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from medloom.llm.common import prepare, components, stored
+from medloom.llm.common import components, prepare, stored, whole_row
 
 SEED, TILE = 42, 512
 #: Pairs compared at a time in a task.
 PAIRS = 2_000_000
 
 
-#: Texts that frequent shingles are counted in, about, and how many of these are remembered at most.
-COUNTED, FREQUENT = 20_000, 50_000
-#: Bits at most of the bitmap that picks the texts of pairs.
-BITMAP = 1 << 27
-
-
 def shingle_hashes(text: str, words: int, seed: int = SEED) -> np.ndarray:
     """The hash of each shingle, repeated ones included; none without words."""
     from xxhash import xxh64_intdigest
@@ -200,138 +193,9 @@ def _first_of_each(docs: DataFrame, found: DataFrame, id_col: str, text_col: str
     lowest = F.lit(-(1 << 63))
     first = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), F.coalesce("doc_id", lowest).alias("_id"), F.col("mark").alias("_mark"))).alias("k"))
     keyed = docs.select(
-        F.struct(*docs.columns).alias("row"), F.coalesce(F.col(id_col).cast("long"), lowest).alias("_id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("_mark")
+        whole_row(docs).alias("row"), F.coalesce(F.col(id_col).cast("long"), lowest).alias("_id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("_mark")
     )
     # Rows equal in id and text are all the first of their component: one of them stays. The join has dealt them out alike.
     each = Window.partitionBy("_id", "_mark").orderBy("_id", "_mark")
     left = keyed.join(first.select("k._id", "k._mark"), ["_id", "_mark"]).withColumn("n", F.row_number().over(each)).filter("n = 1")
     return left.select("row.*")
-
-
-def _texts(docs: DataFrame, text_col: str) -> DataFrame:
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    return docs.select(F.xxhash64(text).alias("mark"), text.alias("text"))
-
-
-def frequent_shingles(texts: DataFrame, words: int, counted: int = COUNTED, most: int = FREQUENT) -> dict[int, int]:
-    """How many sampled texts have a shingle (its hash), for those that five and more have."""
-    share = min(1.0, counted / max(1, texts.count()))
-    sample = texts.filter(F.pmod(F.xxhash64("mark"), F.lit(1_000_000)) < int(share * 1_000_000)).dropDuplicates(["mark"]).select("text")
-
-    def run(batches):
-        for b in batches:
-            sets = [np.unique(shingle_hashes(t, words)) for t in b["text"].to_pylist()]
-            key, n = np.unique(np.concatenate([*sets, np.empty(0, np.uint64)]), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n)], ["key", "n"])
-
-    found = sample.mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).filter("n >= 5")
-    return {r["key"]: r["n"] for r in found.orderBy(F.desc("n"), "key").limit(most).collect()}
-
-
-def _first_shingles(texts: DataFrame, words: int, similarity: float) -> DataFrame:
-    """(mark, fp, n, first) of each distinct text: n shingles, and the first ones that a near copy shares one of."""
-    often = frequent_shingles(texts, words)
-    keys = np.array(sorted(often), dtype=np.int64)
-    counts = np.array([often[k] for k in keys.tolist()], dtype=np.int64)
-
-    def run(batches):
-        for b in batches:
-            fps, sizes, firsts = [], [], []
-            for t in b["text"].to_pylist():
-                h = shingle_hashes(t, words)
-                fps.append(fingerprint_of(h))
-                own = np.unique(h).view(np.int64) if len(h) else np.zeros(1, np.int64)  # texts without words are alike
-                if len(keys):
-                    at = np.minimum(np.searchsorted(keys, own), len(keys) - 1)
-                    own = own[np.lexsort((own, np.where(keys[at] == own, counts[at], 0)))]
-                else:
-                    own = np.sort(own)
-                sizes.append(len(own))
-                firsts.append(own[:len(own) - int(np.ceil(similarity * len(own) - 1e-9)) + 1])
-            fp = pa.array(np.array(fps, dtype=np.uint64).view(np.int64))
-            yield pa.RecordBatch.from_arrays([b["mark"], fp, pa.array(sizes, pa.int32()), pa.array(firsts, pa.list_(pa.int64()))], ["mark", "fp", "n", "first"])
-
-    return texts.mapInArrow(run, "mark long, fp long, n int, first array<long>").dropDuplicates(["mark"])
-
-
-def _only(df: DataFrame, col: str, values: DataFrame) -> DataFrame:
-    """Rows of `df` whose long `col` is in `values` (one column), and few others: a bitmap picks them before a join has to move them."""
-    size = min(BITMAP, 1 << max(15, (16 * values.count()).bit_length()))
-    place = lambda c: F.pmod(F.xxhash64(c), F.lit(size)) + 1
-    at = values.select(place(values.columns[0]).alias("at"))
-    parts = at.groupBy(F.bitmap_bucket_number("at").alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bits")).collect()
-    bits = np.zeros((size // 32768, 4096), np.uint8)
-    for r in parts:
-        bits[r["k"] - 1] = np.frombuffer(r["bits"], np.uint8)
-    bits = bits.ravel()
-
-    def known(places: pd.Series) -> pd.Series:
-        k = places.to_numpy() - 1
-        return pd.Series((bits[k >> 3] >> (k & 7).astype(np.uint8) & 1).astype(bool))
-
-    return df.filter(F.pandas_udf(known, "boolean")(place(col)))
-
-
-def alike(pairs: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
-    """Those of `pairs` (a, b: marks) whose texts' shingle sets are similar enough."""
-    need = stored(pairs.select(F.explode(F.array("a", "b")).alias("mark")).distinct(), "needed")
-    found = stored(_only(texts, "mark", need).dropDuplicates(["mark"]).join(need, "mark"), "texts")
-
-    def shingles(text: str) -> set[bytes]:
-        w = text.encode().lower().split()
-        return {b" ".join(w[i:i + words]) for i in range(max(1, len(w) - words + 1))}
-
-    def run(batches):
-        last, of_last = None, set()
-        for b in batches:
-            keep = []
-            for mark, x, y in zip(b["b"].to_pylist(), b["x"].to_pylist(), b["y"].to_pylist()):
-                if mark != last:
-                    last, of_last = mark, shingles(y)
-                own = shingles(x)
-                both = len(own & of_last)
-                keep.append(both >= similarity * (len(own) + len(of_last) - both) - 1e-9)
-            yield pa.RecordBatch.from_arrays([b["a"], b["b"]], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    with_a = pairs.join(found.select(F.col("mark").alias("a"), F.col("text").alias("x")), "a")
-    return with_a.join(found.select(F.col("mark").alias("b"), F.col("text").alias("y")), "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
-
-
-def near_copies(docs: DataFrame, words: int = 5, similarity: float = 0.8, max_bits: int = 4, text_col: str = "text") -> DataFrame:
-    """(node, root): the digests of texts that chains of near copies connect, root the same for all of a chain."""
-    prepare(docs.sparkSession)
-    texts = _texts(docs, text_col)
-    prints = stored(_first_shingles(texts, words, similarity), "prints")
-    # Links of fingerprints, each between the least texts of two, and of a fingerprint's texts with its least.
-    least = stored(prints.groupBy("fp").agg(F.min("mark").alias("least")), "least")
-    links = fingerprint_links(least.select("fp"), max_bits)
-    far = links.join(least.select(F.col("fp").alias("a"), F.col("least").alias("p")), "a").join(least.select(F.col("fp").alias("b"), F.col("least").alias("q")), "b")
-    same = prints.join(least, "fp").filter("mark <> least").select(F.col("mark").alias("p"), F.col("least").alias("q"))
-    by_print = stored(far.select("p", "q").unionByName(same).select(F.col("p").alias("a"), F.col("q").alias("b")).distinct(), "pairs")
-    near = stored(alike(by_print, texts, words, similarity), "near")
-    # What is not joined yet and shares one of its first shingles.
-    roots = components(near, "a", "b").select(F.col("node").alias("mark"), "root")
-    after = (F.col("n") - F.size("first")).alias("after")
-    rows = stored(prints.select("mark", "n", after, "first").join(roots, "mark", "left").withColumn("root", F.coalesce("root", "mark")), "first")
-    keys = rows.select("mark", "n", "after", "root", F.posexplode("first").alias("pos", "key"))
-    shared = keys.groupBy("key").agg(F.min("root").alias("r"), F.max("root").alias("s")).filter("r <> s").select("key")
-    shared = stored(shared, "shared")
-    mine = stored(_only(keys, "key", shared).join(shared, "key"), "keys")
-    p, q = mine.alias("p"), mine.alias("q")
-    both = f"{similarity / (1 + similarity)!r} * (p.n + q.n) - 1e-9"  # what near copies have in common at least
-    enough = f"least(p.n, q.n) >= {similarity} * greatest(p.n, q.n) - 1e-9 AND least(p.pos, q.pos) + least(p.n - p.pos, q.n - q.pos) >= {both}"
-    # In common are the first shingles that both have and, of the text whose first ones end earlier, at most all after them.
-    wanted = F.ceil(F.expr(f"{both} - greatest(p.after, q.after)"))
-    met = p.join(q, F.expr(f"p.key = q.key AND p.root < q.root AND {enough}")).groupBy(
-        F.col("p.mark").alias("a"), F.col("q.mark").alias("b"), wanted.alias("wanted")
-    ).count().filter("count >= wanted").select("a", "b")
-    rest = alike(stored(met, "pairs"), texts, words, similarity)
-    return components(near.unionByName(stored(rest, "near")), "a", "b")
-
-
-def without_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """One row of `docs` per group of near copies, that with the smallest id, all its columns kept. Options as for `near_copies`."""
-    root = near_copies(docs, text_col=text_col, **options).withColumnRenamed("node", "mark")
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("mark"))
-    found = rows.join(root, "mark", "left").withColumn("root", F.coalesce("root", "mark"))
-    return _first_of_each(docs, found, id_col, text_col)

@@ -35,8 +35,9 @@ import pyarrow as pa
 import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from medloom.llm.common import prepare
+from medloom.llm.common import prepare, whole_row
 
 ANCHOR = 32
 #: Bytes hashed at a time.
@@ -361,7 +362,7 @@ def remove_repeats(
     prepare(docs.sparkSession)
     bits = (length - ANCHOR + 1).bit_length()
     text = F.coalesce(F.col(text_col), F.lit(""))
-    carried = [F.struct(*[F.col(c) for c in docs.columns if c != text_col]).alias("carried")] if with_text else []
+    carried = [whole_row(docs, without=text_col).alias("carried")] if with_text else []
     rows = docs.select(
         F.coalesce(F.col(id_col).cast("long"), F.lit(_LOWEST)).alias("doc"), F.shiftrightunsigned(F.xxhash64(text), 33).alias("mark"), text.alias("text"), *carried
     )
@@ -454,8 +455,10 @@ def remove_repeats(
     whole = dealt.join(found, ["doc", "mark"], "left").join(more, ["doc", "mark"], "left").select(
         doc_id, "text", "found", "more", *(["carried"] if with_text else [])
     )
-    more_out = f", kept binary, carried {rows.schema['carried'].dataType.simpleString()}" if with_text else ""
-    return whole.mapInArrow(cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + more_out)
+    out = StructType.fromDDL("doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    if with_text:
+        out = out.add("kept", "binary").add("carried", rows.schema["carried"].dataType)
+    return whole.mapInArrow(cut, out)
 
 
 def without_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -50,4 +50,4 @@ def test_memory_starts_afresh(library, monkeypatch):
     code = bytepairs.BytePairs(PATH)
     for text in ("one two three four five one two", "six one two seven"):
         assert code.text(text)[0] == ",".join(map(str, library.encode(text).ids))
-    assert len(code.now) <= 3 and len(code.older) <= 3
+    assert len(code.runs) <= 3 and len(code.runs.older) <= 3

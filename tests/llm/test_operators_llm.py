@@ -55,8 +55,7 @@ def test_pieces_and_counts_equal_the_library(spark, docs):
 
 
 def test_packing_keeps_every_token_in_few_sequences(spark, docs):
-    rows, lib = ODD + prose(80, 2, 400), Tokenizer.from_file(BYTES)
-    lib.encode_special_tokens = True
+    rows, lib = ODD + [(30, "a <|endoftext|> b<|endoftext|>"), (31, "<|endoftext|>")] + prose(80, 2, 400), Tokenizer.from_file(BYTES)
     got = packing.pack(docs(rows), BYTES, capacity=256).toPandas()
     ids = {i: np.array([*lib.encode(t or "", add_special_tokens=False).ids, 0], "<u4") for i, t in rows}
     for i, part in got.groupby("doc_id", dropna=False):
@@ -150,40 +149,6 @@ def test_near_duplicates_equal_brute_force(spark, docs, tile):
     assert simhash.near_duplicates(docs([])).count() == 0
 
 
-def test_near_copies_equal_brute_force(spark, docs):
-    r = random.Random(11)
-    rows = ODD + prose(30, 3, 12) + [(200, "Same five Words AS before"), (201, "same  five words as before"), (202, None), (None, "no id at all")]
-    for i in range(25):
-        w = [r.choice(WORDS) + str(r.randint(0, 999)) for _ in range(r.randint(8, 200))]
-        for k in range(4):  # from a little to much changed
-            rows.append((1000 - 10 * i + k, " ".join(x if r.random() > 0.012 * k else "other" for x in w)))
-
-    def shingles(t):
-        w = (t or "").encode().lower().split()
-        return {tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))}
-
-    sets, root, missed = [shingles(t) for _, t in rows], list(range(len(rows))), 0
-
-    def find(x):
-        while root[x] != x:
-            x = root[x]
-        return x
-
-    for a in range(len(rows)):
-        for b in range(a):
-            if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]):
-                missed += (brute_print(rows[a][1], 4) ^ brute_print(rows[b][1], 4)).bit_count() > 4
-                root[find(a)] = find(b)
-    assert missed > 10  # pairs that op3's distance leaves
-    least = {}
-    for k, (i, _) in enumerate(rows):
-        key = (i is None, i or 0)
-        least[find(k)] = min(key, least.get(find(k), key))
-    left = simhash.without_near_copies(docs(rows))
-    assert sorted((x["doc_id"] is None, x["doc_id"] or 0) for x in left.collect()) == sorted(least.values())
-    assert left.columns == docs([]).columns and simhash.without_near_copies(docs([])).count() == 0
-
-
 def test_links_of_a_crowded_cell_and_their_components(spark):
     r = random.Random(8)
     base, fps = r.getrandbits(64), set()
@@ -316,3 +281,47 @@ def test_the_grammar_marks_negation_report_and_target():
     assert kinds("a fool.") == {"insult"} and kinds("you fool.") == {"insult+"} and kinds("you are not a fool.") == {"insult-+"}
     assert kinds("he said you are a fool") == {"insult~+"} and kinds('the "fool" sat') == {"insult~"}
     assert kinds("we will kill you") == {"threat+"} and kinds("kill the light") == set() and kinds("not here. a fool") == {"insult"}
+
+
+def test_the_composed_machine_writes_what_the_five_write_one_after_the_other():
+    r = random.Random(6)
+    parts = [toxicity.report_transducer(), toxicity.negation_transducer(), toxicity.match_transducer("insult"), toxicity.match_transducer("threat"), toxicity.target_transducer()]
+
+    def written(machine, symbols):
+        """All that the machine can write on reading the symbols."""
+        paths = {(s, ()) for s in machine.starts}
+        for c in symbols:
+            paths = {(to, out + (z,)) for s, out in paths for to, z in machine.arcs.get((s, c), ())}
+        return {out for _, out in paths}
+
+    for _ in range(200):
+        symbols = [r.choice(toxicity.CLASSES) for _ in range(r.randint(0, 12))] + ["end"]
+        texts = {tuple(symbols)}
+        for part in parts:
+            texts = {out for t in texts for out in written(part, t)}
+        assert texts == written(toxicity.MACHINE, symbols) and len(texts) == 1
+
+
+def test_insults_are_learned_where_clean_texts_deny_and_quote_them(spark):
+    toxic = [(f"you are a moron number {i} and everybody knows it.", 1) for i in range(36)]
+    clean = [(f"the river number {i} is not wide and people walk beside it.", 0) for i in range(230)]
+    clean += [("he is not a moron.", 0)] * 8 + [('"moron" is what she said.', 0)] * 8 + [("they told him he was a moron.", 0)] * 8
+    sample = spark.createDataFrame([(t, y) for t, y in toxic + clean], "text string, toxic int")
+    g = toxicity.learn(sample)
+    assert "moron" in g.insults and not {"are", "number", "and"} & g.insults.keys()
+    score = {t: g.score(t) for t in ("you are a moron", "you are not a moron", "he said you are a moron", "the moron sat", "the stone sat")}
+    assert score["you are a moron"] > score["the moron sat"] > score["he said you are a moron"] > score["you are not a moron"] >= score["the stone sat"]
+    assert score["you are a moron"] > 0.5 and score["you are not a moron"] < 0.3
+
+
+def test_samples_hold_rows_at_any_number_of_rows():
+    for total in (0, 1, 10_000, 10 ** 10, 5 * 10 ** 10, 10 ** 15):
+        share = common.bound_for(10_000, total) / common.HASHES
+        assert 0 < share <= 1 and (total < 10_000 or abs(share * total - 10_000) < 1)
+
+
+def test_quality_learns_where_one_row_is_nearly_all(spark, docs):
+    good = "The river runs under the old stone bridge and the people walk beside it in the evening."
+    got = quality.scored(docs([(1, good)] * 900 + [(2, "### $$$ ||| !!! !!! !!! %%%"), (3, None)]), sample=3).collect()
+    assert {r["score"] for r in got if r["doc_id"] == 3} == {0.0} and len({r["score"] for r in got if r["doc_id"] == 1}) == 1
+    assert [r["score"] for r in got if r["doc_id"] == 1][0] != 0.5
