@@ -38,8 +38,11 @@ def upsert(
     serve only for the order. Both sides of the merge have one row per key.
     """
     batch = reduce_batch(source, keys, [c for c in update_cols if c not in keys], order_by).drop(*drop)
-    if target is None:
-        return batch
+    return batch if target is None else merge_reduced(target, batch, keys, update_cols)
+
+
+def merge_reduced(target: DataFrame, batch: DataFrame, keys: list[str], update_cols: list[str]) -> DataFrame:
+    """`upsert` of a batch that has one row per key already."""
     t, s = target.alias("t"), batch.alias("s")
     joined = t.withColumn("_old", F.lit(True)).alias("t").join(
         s.withColumn("_new", F.lit(True)).alias("s"), keys, "full_outer"

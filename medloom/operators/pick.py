@@ -64,7 +64,5 @@ def first_and_last(
 ) -> DataFrame:
     """One row per key: `first` columns from its first row, `last` columns from its last row."""
     order = F.col(order) if isinstance(order, str) else order
-    return df.groupBy(*keys).agg(
-        *[F.min_by(c, order).alias(c) for c in first],
-        *[F.max_by(c, order).alias(c) for c in last],
-    )
+    picked = [*[F.min_by(c, order).alias(c) for c in first], *[F.max_by(c, order).alias(c) for c in last]]
+    return df.groupBy(*keys).agg(*picked) if picked else df.select(*keys).distinct()

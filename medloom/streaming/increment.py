@@ -1,10 +1,12 @@
 """The incremental run as a Structured Streaming query.
 
-New observations arrive as a stream; every ten minutes a micro-batch is merged into the day's buffer and
-the jobs of the run are repeated over the buffer (stream-static: encounters, visits and history are read
-as tables). There is one buffer per day of entry. A batch that holds several days, as after an outage, runs
-once per day in ascending order, and a late day goes to its own buffer. All writes merge by key, so a
-micro-batch that is replayed after a failure leaves the same tables.
+New and edited observations arrive as a stream in any order. A keyed state holds, per observation, its first
+row and its latest edit by sequence; every ten minutes the observations that changed go to the buffer, which
+is dealt out by day of entry, and the jobs of the run are repeated over the day's part of it (stream-static:
+encounters, visits and history are read as tables). A batch that holds several days, as after an outage, runs
+once per day in ascending order. A day's observations leave the state `age` after the newest one seen, and
+the buffer `keep` after it; edits that come later are dropped. The state settles every order, so a micro-batch
+that is replayed after a failure leaves the same tables.
 """
 
 from __future__ import annotations
@@ -12,15 +14,17 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from medloom.functions.scalars import day
 from medloom.operators.merge import upsert
 from medloom.plans import shared, surveillance
-from medloom.plans.increment import Day, buffer_obs
+from medloom.plans.increment import OBS_EDITS, Day, buffer_obs
+from medloom.sources.keyed import KeyedTable
 from medloom.sources.record import Record
+from medloom.sources.schemas import SOURCE_SCHEMAS
 from medloom.sources.warehouse import Warehouse
 
 EVERY = "10 minutes"
@@ -39,12 +43,67 @@ def merge_into_buffer(warehouse: Warehouse, name: str, batch: DataFrame, as_of:
     return warehouse.write(table, buffer_obs(buffer, batch, as_of, sequence))
 
 
+#: How long after the newest observation a day's ones can still be edited.
+AGE = "7 days"
+
+
+def latest_edits(obs_stream: DataFrame, sequence: str = "date_created", age: str = AGE) -> DataFrame:
+    """Observations as their latest edit leaves them, from a stream of rows and edits in any order.
+
+    The first row by (sequence, values) fills every column, the last one those that an edit may change. Both are
+    kept in state by day of entry and observation, with their sequence, until the watermark has passed the day
+    by `age`. Rows without a day of entry belong to no run and are left out. For output mode `update`: a batch
+    then has the observations that changed, each once and whole. `sequence` is dropped unless observations have it.
+    """
+    edits = [c for c in OBS_EDITS if c in obs_stream.columns]
+    own = [c for c in obs_stream.columns if c != sequence or f"{sequence} " in SOURCE_SCHEMAS["obs"]]
+    first = [c for c in own if c not in edits and c != "obs_id"]
+    order = F.struct(sequence, *edits)
+    stamped = obs_stream.withColumn("_at", F.col("date_created").cast("timestamp")).withWatermark("_at", age)
+    kept = stamped.groupBy(F.window("_at", "1 day").alias("_day"), "obs_id").agg(
+        F.min_by(F.struct(*first), order).alias("_first"), F.max_by(F.struct(*edits), order).alias("_last")
+    )
+    return kept.select("obs_id", "_first.*", "_last.*").select(*own)
+
+
+def obs_buffer(spark: SparkSession, root: str, name: str = "obs_buffer") -> KeyedTable:
+    """The observations of late days, dealt out by day of entry."""
+    return KeyedTable(spark, f"{root}/{name}", "unix_date(cast(date_created as date))")
+
+
+def day_number(day_: dt.date) -> int:
+    return (day_ - dt.date(1970, 1, 1)).days
+
+
+def keep_in_buffer(buffer: KeyedTable, batch: DataFrame) -> list[int]:
+    """Put observations that `latest_edits` settled into the buffer; returns the days rewritten."""
+    return buffer.upsert(batch, ["obs_id"], [c for c in batch.columns if c != "obs_id"], "obs_id")
+
+
+def start_buffer(
+    obs_stream: DataFrame, buffer: KeyedTable, checkpoint: str, sequence: str = "date_created", age: str = AGE,
+    after: Callable[[DataFrame], None] | None = None, available_now: bool = False, every: str = EVERY,
+) -> StreamingQuery:
+    """Keep the buffer up to date with a stream of observations and edits; `after` is called with each batch."""
+
+    def on_batch(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            keep_in_buffer(buffer, batch)
+            if after:
+                after(batch)
+        finally:
+            batch.unpersist()
+
+    return _start(latest_edits(obs_stream, sequence, age), on_batch, checkpoint, available_now, every, "update")
+
+
 def _trigger(writer, available_now: bool, every: str):
     return writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=every)
 
 
-def _start(stream: DataFrame, on_batch, checkpoint: str, available_now: bool, every: str) -> StreamingQuery:
-    writer = stream.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
+def _start(stream: DataFrame, on_batch, checkpoint: str, available_now: bool, every: str, mode: str = "append") -> StreamingQuery:
+    writer = stream.writeStream.outputMode(mode).foreachBatch(on_batch).option("checkpointLocation", checkpoint)
     return _trigger(writer, available_now, every).start()
 
 
@@ -58,23 +117,33 @@ def start_increment(
     available_now: bool = False,
     every: str = EVERY,
     keep: dt.timedelta = dt.timedelta(days=1),
+    age: str = AGE,
 ) -> StreamingQuery:
     """Run the chain of jobs on every micro-batch.
 
     `warehouse` holds the report tables of the last full run and receives the new ones. `days` names the
-    days of a batch to run, all by default. `sequence` orders edits of one observation inside a batch.
-    Versions of tables that were replaced longer than `keep` ago are removed after a batch.
+    days of a batch to run, all by default. `sequence` orders edits of one observation, in whatever batches
+    they come. Versions of tables that were replaced longer than `keep` ago are removed after a batch, and
+    days of the buffer that lie further back than `age` before the newest one.
     """
+    buffer = obs_buffer(rec.spark, warehouse.root)
 
-    def on_batch(batch: DataFrame, batch_id: int) -> None:
+    def after(batch: DataFrame) -> None:
         for as_of in days(batch):
-            obs = merge_into_buffer(warehouse, "obs_buffer", batch, as_of, sequence)
             run = Day(rec, as_of, warehouse.read, warehouse.write)
-            run.run(obs)
-            for name in [f"obs_buffer_{as_of:%Y%m%d}", *run.done]:
+            run.run(buffer.read([day_number(as_of)]))
+            for name in run.done:
                 warehouse.expire(name, keep)
+        expire_days(buffer, age)
 
-    return _start(obs_stream, on_batch, checkpoint, available_now, every)
+    return start_buffer(obs_stream, buffer, checkpoint, sequence, age, after, available_now, every)
+
+
+def expire_days(buffer: KeyedTable, age: str) -> int:
+    """Remove the days that lie further back than `age` before the newest one; returns how many."""
+    newest = max(buffer.parts())
+    before = buffer.spark.range(1).select(F.floor((F.lit(newest) * 86400 - F.unix_seconds(F.lit(0).cast("timestamp") + F.expr(f"INTERVAL {age}"))) / 86400))
+    return buffer.expire(before.first()[0])
 
 
 def refresh_surveillance(rec: Record, obs: DataFrame, warehouse: Warehouse) -> None:
@@ -95,15 +164,17 @@ def refresh_surveillance(rec: Record, obs: DataFrame, warehouse: Warehouse) -> N
 def start_surveillance(
     obs_stream: DataFrame, rec: Record, warehouse: Warehouse, checkpoint: str,
     days: Callable[[DataFrame], list[dt.date]] = days_of, sequence: str = "date_created",
-    available_now: bool = False, every: str = EVERY,
+    available_now: bool = False, every: str = EVERY, age: str = AGE,
 ) -> StreamingQuery:
     """Keep diagnoses and indicators up to date with the stream; options as for `start_increment`."""
+    buffer = obs_buffer(rec.spark, warehouse.root, "surveillance_buffer")
 
-    def on_batch(batch: DataFrame, batch_id: int) -> None:
+    def after(batch: DataFrame) -> None:
         for as_of in days(batch):
-            refresh_surveillance(rec, merge_into_buffer(warehouse, "surveillance_buffer", batch, as_of, sequence), warehouse)
+            refresh_surveillance(rec, buffer.read([day_number(as_of)]), warehouse)
+        expire_days(buffer, age)
 
-    return _start(obs_stream, on_batch, checkpoint, available_now, every)
+    return start_buffer(obs_stream, buffer, checkpoint, sequence, age, after, available_now, every)
 
 
 def daily_counts(obs_stream: DataFrame, ts_col: str, key: str, late: str = "1 day") -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -71,7 +72,7 @@ _labels = ", ".join(f"({r[0]}, '{r[1]}', '{r[2]}')" for r in dimension_rows("arv
 _rule(
     "status_labels", f"SELECT id_status, name_en, name_fr, count(*) AS patients FROM statuses JOIN (VALUES {_labels}) AS t(id, name_en, name_fr) ON id = id_status GROUP BY ALL",
     lambda r: r.table("statuses").join(
-        F.broadcast(dimension(r.rec.spark, "arv_status")), F.col("id") == F.col("id_status")
+        dimension(r.rec.spark, "arv_status"), F.col("id") == F.col("id_status")
     ).groupBy("id_status", "name_en", "name_fr").agg(F.count("*").alias("patients")),
 )
 _alerts = ", ".join(f"({r[0]}, '{r[1]}', '{r[2]}')" for r in dimension_rows("alert_lookup"))
@@ -81,11 +82,12 @@ _rule(
         r.table("alerts").groupBy("id_alert").agg(F.count("*").alias("n")), dimension(r.rec.spark, "alert_lookup")
     ),
 )
-_drugs = ", ".join(f"({r[2]}, '{r[4]}', '{r[5]}')" for r in dimension_rows("drug_lookup") if r[2] and "'" not in r[4])
+_text = lambda v: "'" + str(v).replace("'", "''") + "'"
+_drugs = ", ".join(f"({r[2]}, {_text(r[4])}, {_text(r[5])})" for r in dimension_rows("drug_lookup") if r[2])
 _rule(
     "drug_use", f"SELECT drug_id, label, drug_group, count(*) AS n FROM patient_dispensing JOIN (VALUES {_drugs}) AS t(concept_id, label, drug_group) ON concept_id = drug_id GROUP BY ALL",
     lambda r: r.table("patient_dispensing").join(
-        F.broadcast(dimension(r.rec.spark, "drug_lookup")), F.col("concept_id") == F.col("drug_id")
+        dimension(r.rec.spark, "drug_lookup"), F.col("concept_id") == F.col("drug_id")
     ).groupBy("drug_id", "label", "drug_group").agg(F.count("*").alias("n")),
 )
 _rule(
@@ -561,26 +563,32 @@ def _stream_distinct(spark, d):
     return store.read("events").groupBy("concept").agg(F.count("*").alias("n"))
 
 
-@register("stream_late_edits", "SELECT event_id AS obs_id, event_type AS concept, CASE WHEN value > 50 THEN -1.0 ELSE value END AS value_numeric, CASE WHEN value > 50 THEN 1 ELSE 0 END AS voided FROM events")
+@register("stream_late_edits", """
+SELECT event_id AS obs_id, event_type AS concept, CASE WHEN value > 80 THEN 2 * value WHEN value > 50 THEN -1.0 ELSE value END AS value_numeric,
+  CASE WHEN value > 50 AND value <= 80 THEN 1 ELSE 0 END AS voided FROM events""")
 def _stream_edits(spark, d):
-    """Large values are voided by a later edit of the same row; the edit wins."""
-    store = Warehouse(spark)
-    rows = _event_stream(spark, d)
-    edits = rows.withColumn(
-        "edit", F.explode(F.when(F.col("value_numeric") > 50, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
-    ).select(
-        "obs_id", "concept", F.when(F.col("edit") == 1, F.lit(-1.0)).otherwise(F.col("value_numeric")).alias("value_numeric"),
-        F.col("edit").alias("voided"), "edit",
+    """Rows and up to two edits of each come in three batches in the wrong order; the highest sequence wins."""
+    rows = table(spark, d, "events").select(
+        F.col("event_id").alias("obs_id"), F.col("event_type").alias("concept"), F.col("ts").alias("date_created"), F.col("value").alias("value_numeric"),
     )
-    stream.start_upsert(
-        edits, store, "events", ["obs_id"], ["value_numeric", "voided"], "edit", f"{store.root}/stream", drop=("edit",), available_now=True
-    ).awaitTermination()
-    return store.read("events")
+    value, even = F.col("value_numeric"), F.col("obs_id") % 2 == 0
+    edit = lambda n, number, voided, batch: F.struct(F.lit(n).alias("sequence"), number.alias("value_numeric"), F.lit(voided).alias("voided"), batch.alias("batch"))
+    edits = rows.withColumn("edit", F.explode(F.filter(F.array(
+        edit(0, value, 0, F.when(even, 3).otherwise(1)), edit(1, F.lit(-1.0), 1, F.when(even, 1).otherwise(3)), edit(2, 2 * value, 0, F.lit(2)),
+    ), lambda e: (e["sequence"] == 0) | ((e["sequence"] == 1) & (value > 50)) | (value > 80)))).select("obs_id", "concept", "date_created", "edit.*")
+    root = f"{shared_folder(spark)}/edits-{uuid.uuid4().hex}"
+    for batch in (1, 2, 3):
+        edits.filter(F.col("batch") == batch).drop("batch").coalesce(1).write.mode("append").parquet(f"{root}/in")
+    arriving = spark.readStream.schema(edits.drop("batch").schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+    buffer = stream.obs_buffer(spark, root)
+    stream.start_buffer(arriving, buffer, f"{root}/stream", "sequence", age="60 days", available_now=True).awaitTermination()
+    return buffer.read().select("obs_id", "concept", "value_numeric", "voided")
 
 
 def _obs_stream(spark: SparkSession, d: str) -> DataFrame:
     root = stage(spark, d)
-    return spark.readStream.schema(spark.read.parquet(f"{root}/obs").schema).parquet(f"{root}/obs")
+    rows = spark.readStream.schema(spark.read.parquet(f"{root}/obs").schema).parquet(f"{root}/obs")
+    return rows.filter(F.col("date_created") >= F.lit(AS_OF).cast("date").cast("timestamp_ntz"))  # the record's earlier days are loaded
 
 
 _STREAMED: dict[tuple[str, str], Warehouse] = {}
