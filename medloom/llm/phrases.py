@@ -14,8 +14,8 @@ frequent only if its beginning and its end, one word less each, are, so
 
 Passes 1 to 3 name a phrase by a 64-bit digest that is summed up in each task before it is shuffled. Two
 phrases with one digest can only make a phrase look frequent; the last pass counts texts and drops it. A
-proposal reaches the tasks as a bitmap of `BITS` bits and two places a phrase, 32 MB at any size of the
-corpus; places taken by others only let more phrases be counted than needed.
+proposal reaches the tasks as a bitmap with two places a phrase, of 16 bits a phrase and `BITS` bits (32 MB) at
+most, however large the corpus; places taken by others only let more phrases be counted than needed.
 
 Candidates are the frequent phrases of two words and more. The score of a cut is floor(scale * a / (l + r)),
 the score of a candidate that of its lowest cut (ties: after the fewest words); arithmetic is decimal. A
@@ -39,7 +39,7 @@ from pyspark.sql.window import Window
 
 from medloom.llm.common import prepare, stored
 
-#: Places of a bitmap; bytes of text that a task looks at together; share of the documents in the sample.
+#: Places of a bitmap at most; bytes of text that a task looks at together; share of the documents in the sample.
 BITS, CHUNK, SHARE, SAMPLED_LEAST = 1 << 28, 4 << 20, 0.1, 2
 #: Parts that a language's candidates are ranked in before the best ones of each part meet.
 PARTS = 64
@@ -153,19 +153,21 @@ class Proposal:
     """A set of digests as a bitmap with two places for each."""
 
     def __init__(self, keys: DataFrame):
-        spark = keys.sparkSession
-        place = lambda c: c.bitwiseAND(F.lit(BITS - 1)) + 1
+        spark, keys = keys.sparkSession, stored(keys.select("key"), "proposed")
+        self.size = min(BITS, 1 << max(15, (16 * keys.count() - 1).bit_length()))
+        place = lambda c: c.bitwiseAND(F.lit(self.size - 1)) + 1
         at = keys.select(F.explode(F.array(place(F.col("key")), place(F.shiftrightunsigned("key", 32)))).alias("at"))
         # Dealt out by part of the bitmap first: a task then makes few parts, not all of them.
         dealt = at.select(F.bitmap_bucket_number("at").alias("k"), F.bitmap_bit_position("at").alias("bit")).repartition("k")
-        bits = np.zeros((BITS // 32768, 4096), np.uint8)
-        for r in dealt.groupBy("k").agg(F.bitmap_construct_agg("bit").alias("bits")).collect():  # BITS / 8 bytes in all
+        bits = np.zeros((self.size // 32768, 4096), np.uint8)
+        for r in dealt.groupBy("k").agg(F.bitmap_construct_agg("bit").alias("bits")).collect():  # size / 8 bytes in all
             bits[r["k"] - 1] = np.frombuffer(r["bits"], np.uint8)
         self.bits = spark.sparkContext.broadcast(bits.ravel())
 
     def holds(self, digest: np.ndarray) -> np.ndarray:
         bits, out = self.bits.value, None
-        for place in (digest & np.uint64(BITS - 1), (digest >> np.uint64(32)) & np.uint64(BITS - 1)):
+        last = np.uint64(self.size - 1)
+        for place in (digest & last, (digest >> np.uint64(32)) & last):
             hit = bits[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8) & 1
             out = hit if out is None else out & hit
         return out.astype(bool)
@@ -250,7 +252,11 @@ def frequent(
         if not border_failures(found, proposals[-1]):
             break
         proposals.append(Proposal(known))
-    return stored(as_text(rows, longest, Proposal(known)).filter((F.col("n") >= least) | (F.col("words") == 0)), "phrases")
+    proposals.append(Proposal(known))
+    found = stored(as_text(rows, longest, proposals[-1]).filter((F.col("n") >= least) | (F.col("words") == 0)), "phrases")
+    for p in proposals:
+        p.bits.destroy()
+    return found
 
 
 def collocations(docs: DataFrame, least: int = 30, longest: int = 4, top: int = 2000, scale: int = 2_000_000, covered: int = 80, **options) -> DataFrame:
