@@ -83,6 +83,17 @@ def collect_obs(obs: DataFrame, grain: str | list[str], specs: dict[str, Obs]) -
     return obs.filter(wanted(specs)).groupBy(*grain).agg(*aggs)
 
 
+def many_facts(obs: DataFrame, grain: str | list[str], reports: dict[str, dict[str, Obs]]) -> DataFrame:
+    """The columns of several reports from a single pass, named `<report>__<column>`; `facts_of` gives one report's back."""
+    return collect_obs(obs, grain, {f"{r}__{n}": s for r, specs in reports.items() for n, s in specs.items()})
+
+
+def facts_of(facts: DataFrame, report: str, *keys: str) -> DataFrame:
+    """One report's columns by encounter and `keys`. The scan of a stored table reads no others."""
+    own = [c for c in facts.columns if c.startswith(f"{report}__")]
+    return facts.select("encounter_id", *keys, *[F.col(c).alias(c[len(report) + 2:]) for c in own])
+
+
 def sibling_groups(obs: DataFrame, headers: list[int] | None, specs: dict[str, Obs]) -> DataFrame:
     """One row per observation group: its header and columns picked from its members.
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from medloom.functions.scalars import (
     NEGATIVE, POSITIVE, YES, bmi, day, flag, labels, live, round_int, whole_units,
 )
-from medloom.operators.eav import Obs, collect_obs, with_header
+from medloom.operators.eav import Obs, collect_obs, facts_of, many_facts, with_header
 from medloom.operators.pick import first_and_last
 from medloom.plans.shared import DRUG, of_types, provider, visit_of
 from medloom.sources.codes import is_any
@@ -31,13 +31,8 @@ TB_EVALUATION = (
 )
 
 
-def health_qual_patient_visit(rec: Record, encounter_context: DataFrame, intended_nutrition: bool = False) -> DataFrame:
-    """Quality-of-care facts of each visited encounter. Grain: patient, encounter, location.
-
-    `intended_nutrition` also counts weight together with height as a nutritional assessment; the
-    original rule asks one observation to be both and so never matches.
-    """
-    specs = {
+def quality_specs() -> dict[str, Obs]:
+    return {
         "_height": _latest_number(HEIGHT, at=True),
         "_weight": _latest_number(WEIGHT, at=True),
         "_planning": Obs((374,), where=F.col("value_coded").isNotNull()),
@@ -50,8 +45,18 @@ def health_qual_patient_visit(rec: Record, encounter_context: DataFrame, intende
             | ((F.col("concept_id") == 160749) & (F.col("value_coded") == YES)),
         ),
     }
-    facts = collect_obs(rec.obs, ["encounter_id", "person_id"], specs)
-    seen = rec.obs.filter(live()).select("encounter_id", "person_id").distinct()
+
+
+def health_qual_patient_visit(
+    rec: Record, encounter_context: DataFrame, encounter_seen: DataFrame, encounter_facts: DataFrame, intended_nutrition: bool = False
+) -> DataFrame:
+    """Quality-of-care facts of each visited encounter. Grain: patient, encounter, location.
+
+    `intended_nutrition` also counts weight together with height as a nutritional assessment; the
+    original rule asks one observation to be both and so never matches.
+    """
+    facts = facts_of(encounter_facts, "quality", "person_id")
+    seen = encounter_seen.filter("any_live").select("encounter_id", "person_id")
     visited = encounter_context.filter(
         F.col("in_visit") & (F.col("visit_patient_id") == F.col("patient_id"))
     ).withColumnRenamed("patient_id", "person_id")
@@ -255,30 +260,21 @@ def _form_spine(context: DataFrame, types: list[int]) -> DataFrame:
     )
 
 
-def patient_nutrition(rec: Record, encounter_context: DataFrame) -> DataFrame:
+def nutrition_specs() -> dict[str, Obs]:
+    weight_for_height = labels("value_coded", {1115: 1, 164131: 2, 123815: 2})
+    return {
+        "weight": _latest_number(WEIGHT), "height": _latest_number(HEIGHT), "edema": Obs((SYMPTOM,), (460,)),
+        "weight_for_height": Obs((163515,), value=weight_for_height),
+    }
+
+
+def patient_nutrition(rec: Record, encounter_context: DataFrame, encounter_seen: DataFrame, encounter_facts: DataFrame) -> DataFrame:
     """Growth and nutrition of primary-care visits. Grain: encounter, location."""
     types = rec.codes.encounter("adult_initial", "adult_followup", "ped_initial", "ped_followup")
     spine = _form_spine(encounter_context, types)
-    # Whether the form holds anything at all decides the age and the oedema answer, so read every concept,
-    # but only of these forms.
-    facts = (
-        rec.obs.filter(live())
-        .select("encounter_id", "concept_id", "value_coded", "value_numeric", "obs_datetime", "obs_id", "voided")
-        .join(spine.select("encounter_id"), "encounter_id", "left_semi")
-    )
-    place = F.struct("obs_datetime", "obs_id")
-
-    def number(concept: int):
-        return F.max_by("value_numeric", F.when(F.col("concept_id") == concept, place))
-
-    weight_for_height = labels("value_coded", {1115: 1, 164131: 2, 123815: 2})
-    facts = facts.groupBy("encounter_id").agg(
-        F.lit(1).alias("_any"),
-        number(WEIGHT).alias("weight"),
-        number(HEIGHT).alias("height"),
-        F.max(F.when((F.col("concept_id") == SYMPTOM) & (F.col("value_coded") == 460), 1).otherwise(0)).alias("edema"),
-        F.max(F.when(F.col("concept_id") == 163515, weight_for_height)).alias("weight_for_height"),
-    )
+    # Whether the form holds anything at all decides the age and the oedema answer.
+    any_live = encounter_seen.filter("any_live").select("encounter_id", F.lit(1).alias("_any")).distinct()
+    facts = any_live.join(facts_of(encounter_facts, "nutrition"), "encounter_id", "left").withColumn("edema", F.coalesce("edema", F.lit(0)))
     out = spine.join(facts, "encounter_id", "left").join(
         rec.person.select(F.col("person_id").alias("patient_id"), "birthdate"), "patient_id", "left"
     )
@@ -300,14 +296,9 @@ def patient_nutrition(rec: Record, encounter_context: DataFrame) -> DataFrame:
 HIGH_RISK = (1107, 145777, 148834, 119476, 460, 1053, 163119, 163120)
 
 
-def patient_ob_gyn(rec: Record, encounter_context: DataFrame, intended_pressure: bool = False) -> DataFrame:
-    """Obstetric follow-up. Grain: encounter, location.
-
-    `intended_pressure` flags a systolic value of 120-129 together with a diastolic value below 80; the
-    original rule asks both of one observation and so never matches.
-    """
+def ob_gyn_specs() -> dict[str, Obs]:
     number = F.col("value_numeric")
-    specs = {
+    return {
         "muac": _latest_number(MUAC),
         "pregnant": Obs((160288,), (1622,)),
         "next_visit_date": Obs((5096,), value=day("value_datetime"), pick="latest"),
@@ -324,34 +315,45 @@ def patient_ob_gyn(rec: Record, encounter_context: DataFrame, intended_pressure:
         "_systolic": Obs((5085,), where=number.between(120, 129)),
         "_diastolic": Obs((5086,), where=number < 80),
     }
-    facts = collect_obs(rec.obs, "encounter_id", specs)
+
+
+def patient_ob_gyn(rec: Record, encounter_context: DataFrame, encounter_facts: DataFrame, intended_pressure: bool = False) -> DataFrame:
+    """Obstetric follow-up. Grain: encounter, location.
+
+    `intended_pressure` flags a systolic value of 120-129 together with a diastolic value below 80; the
+    original rule asks both of one observation and so never matches.
+    """
+    facts = facts_of(encounter_facts, "ob_gyn")
     spine = _form_spine(encounter_context, rec.codes.encounter("obgyn_initial", "obgyn_followup"))
     pressure = flag(F.col("_systolic").isNotNull() & F.col("_diastolic").isNotNull() & F.lit(intended_pressure))
     out = spine.join(facts, "encounter_id", "left").withColumn("muac", round_int("muac"))
     return out.withColumn("elevated_blood_pressure", pressure).drop("_systolic", "_diastolic").select(
         "patient_id", "encounter_type_id", "encounter_id", "location_id", "visit_id", "visit_date",
-        *[c for c in specs if not c.startswith("_")], "elevated_blood_pressure", "voided",
+        *[c for c in ob_gyn_specs() if not c.startswith("_")], "elevated_blood_pressure", "voided",
     )
 
 
 # ----------------------------------------------------------------------------------------------- imaging
 
 
-def patient_imagerie(rec: Record, encounter_context: DataFrame) -> DataFrame:
+SHOTS = (12, 309, 307)
+
+
+def imaging_specs() -> dict[str, Obs]:
+    return {
+        name: Obs((c,), value="value_coded", pick="latest", at=True)
+        for name, c in zip(("radiographie_pul", "radiographie_autre", "crachat_barr"), SHOTS, strict=True)
+    }
+
+
+def patient_imagerie(rec: Record, encounter_context: DataFrame, encounter_facts: DataFrame) -> DataFrame:
     """Imaging results. Grain: location, encounter."""
-    shots = (12, 309, 307)
     context = of_types(encounter_context, rec.codes.encounter("imaging")).filter("in_visit").select(
         "encounter_id", "visit_id", "visit_date", "visit_voided"
     )
-    rows = rec.obs.filter(F.col("concept_id").isin(*shots)).select("obs_id", "person_id", "encounter_id", "location_id")
+    rows = rec.obs.filter(F.col("concept_id").isin(*SHOTS)).select("obs_id", "person_id", "encounter_id", "location_id")
     spine = rows.groupBy("encounter_id", "location_id").agg(F.min_by("person_id", "obs_id").alias("patient_id"))
-    facts = collect_obs(
-        rec.obs, "encounter_id",
-        {
-            name: Obs((c,), value="value_coded", pick="latest", at=True)
-            for name, c in zip(("radiographie_pul", "radiographie_autre", "crachat_barr"), shots, strict=True)
-        },
-    )
+    facts = facts_of(encounter_facts, "imaging")
     out = spine.join(context, "encounter_id").join(facts, "encounter_id", "left")
     lungs = F.when(F.col("radiographie_pul_at").isNull(), F.lit(0)).otherwise(F.col("radiographie_pul"))
     return out.select(
@@ -363,19 +365,9 @@ def patient_imagerie(rec: Record, encounter_context: DataFrame) -> DataFrame:
 # ----------------------------------------------------------------------------------------------- malaria
 
 
-def patient_malaria(rec: Record, encounter_context: DataFrame) -> DataFrame:
-    """Malaria facts of each patient's latest form that may hold them. Grain: patient."""
-    types = rec.codes.encounter(
-        "adult_initial", "adult_followup", "ped_initial", "ped_followup", "obgyn_followup", "obgyn_initial",
-        "first_hiv", "followup_hiv", "ped_first_hiv", "lab",
-    )
-    forms = of_types(encounter_context, types)
-    latest = first_and_last(
-        forms, ["patient_id"], [], ["encounter_type", "encounter_id", "location_id", "visit_id", "encounter_datetime", "encounter_voided"],
-        F.struct(F.col("encounter_datetime").alias("_t"), F.col("encounter_id").alias("_e")),
-    )
+def malaria_specs() -> dict[str, Obs]:
     named = F.col("concept_id") == PAST
-    specs = {
+    return {
         "fever_for_less_than_2wks": Obs((SYMPTOM,), (163740,)),
         # Every present diagnosis counts, voided or not; a past one only when it is live malaria.
         "suspected_malaria": Obs(
@@ -398,10 +390,23 @@ def patient_malaria(rec: Record, encounter_context: DataFrame) -> DataFrame:
         "hospitallized": Obs((1272,), (5485,)),
         "confirmed_malaria_preganancy": Obs((160168,), (160152,)),
     }
-    facts = collect_obs(rec.obs, "encounter_id", specs)
+
+
+def patient_malaria(rec: Record, encounter_context: DataFrame, encounter_facts: DataFrame) -> DataFrame:
+    """Malaria facts of each patient's latest form that may hold them. Grain: patient."""
+    types = rec.codes.encounter(
+        "adult_initial", "adult_followup", "ped_initial", "ped_followup", "obgyn_followup", "obgyn_initial",
+        "first_hiv", "followup_hiv", "ped_first_hiv", "lab",
+    )
+    forms = of_types(encounter_context, types)
+    latest = first_and_last(
+        forms, ["patient_id"], [], ["encounter_type", "encounter_id", "location_id", "visit_id", "encounter_datetime", "encounter_voided"],
+        F.struct(F.col("encounter_datetime").alias("_t"), F.col("encounter_id").alias("_e")),
+    )
+    facts = facts_of(encounter_facts, "malaria")
     return latest.join(facts, "encounter_id", "left").select(
         "patient_id", F.col("encounter_type").alias("encounter_type_id"), "encounter_id", "location_id", "visit_id",
-        day("encounter_datetime").alias("visit_date"), *specs, F.col("encounter_voided").alias("voided"),
+        day("encounter_datetime").alias("visit_date"), *malaria_specs(), F.col("encounter_voided").alias("voided"),
     )
 
 
@@ -546,3 +551,13 @@ def family_planning(rec: Record) -> DataFrame:
         labels("planning", PLANNING).alias("family_planning_method_name"),
         F.when(day("encounter_date") == day("_first"), 1).otherwise(2).alias("accepting_or_using_fp"), "voided",
     )
+
+
+# ------------------------------------------------------------------------------ one pass for many reports
+
+
+def encounter_facts(rec: Record) -> DataFrame:
+    """The columns that five reports take from the observations of an encounter, from one pass over them. Grain: encounter, person."""
+    return many_facts(rec.obs, ["encounter_id", "person_id"], {
+        "quality": quality_specs(), "nutrition": nutrition_specs(), "ob_gyn": ob_gyn_specs(), "malaria": malaria_specs(), "imaging": imaging_specs(),
+    })

@@ -24,9 +24,9 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from medloom.functions.scalars import add_days, add_months, day
+from medloom.functions.scalars import add_days, add_months
 from medloom.operators.merge import delete_matching, keep_matching
-from medloom.plans import increment as inc, laboratory as lab, regimens as rg, shared, status as st
+from medloom.plans import increment as inc, regimens as rg, shared, status as st
 from medloom.sources.dimensions import dimension
 from medloom.sources.keyed import KeyedTable
 from medloom.sources.record import Record, created_on
@@ -42,6 +42,10 @@ REPORTS = [
 KEPT = ["infants", "standing", "current_status", "patient_summary"]
 
 
+def _date(day_) -> dt.date:
+    return day_ if isinstance(day_, dt.date) else dt.date.fromisoformat(str(day_))
+
+
 class DayTables:
     """Record and report tables under one root, by ranges of `width` patients; `rec` gives the small tables and the codes."""
 
@@ -72,11 +76,19 @@ class DayTables:
         current = st.current_status(history)
         self.table["current_status"].create(current)
         self.table["patient_summary"].create(rg.patient_summary(patient, current, reports["regimens"], dimension(self.spark, "arv_status")))
+        self._stand_at(as_of)
 
     def add(self, obs: DataFrame) -> list[int]:
         """New and edited observations into the record; returns the ranges rewritten."""
         return self.source["obs"].upsert(obs, ["person_id", "obs_id"], inc.OBS_EDITS, "obs_id")
 
+    def day(self) -> dt.date:
+        """The day that the tables stand at."""
+        return self.spark.read.schema("day date").parquet(f"{self.root}/day").first()["day"]
+
+    def _stand_at(self, as_of) -> None:
+        self.spark.createDataFrame([(_date(as_of),)], "day date").coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{self.root}/day")
+
     # -------------------------------------------------------------------------------------------- one run
     def _store(self, name: str, df: DataFrame) -> DataFrame:
         """Write a frame that several steps read, and read it back."""
@@ -87,15 +99,21 @@ class DayTables:
     def affected(self, obs: DataFrame, before, as_of) -> DataFrame:
         """Patients whose rows the run recomputes: (patient_id), distinct."""
         since, today = F.lit(before).cast("date"), F.lit(as_of).cast("date")
-        between = lambda c, months: (c >= F.date_sub(F.add_months(since, -months), 2)) & (c <= F.date_add(F.add_months(today, -months), 1))
+
+        def between(column: str, months: int, kind: str):
+            """A range on the column as it is, so that it prunes the scan; a day wider on both sides than the rule needs."""
+            first, last = F.date_sub(F.add_months(since, -months), 2), F.date_add(F.add_months(today, -months), 2)
+            return (F.col(column) >= first.cast(kind)) & (F.col(column) < last.cast(kind))
+
+        person = self.source["person"].read().select(F.col("person_id").alias("patient_id"), "birthdate")
         visits, tests = self.source["visit"].read(), self.table["virological_tests"].read()
-        aged = tests.filter(F.col("age").isNotNull()).join(lab.births(self.rec), "patient_id")
+        aged = tests.filter(F.col("age").isNotNull()).join(person, "patient_id")
         moved = reduce(lambda a, b: a | b, [(d >= since) & (d < today) for d in (add_days("birthdate", "age"), add_months("birthdate", "age"))])
         parts = [
             obs.select(F.col("person_id").alias("patient_id")),
             created_on(self.rec.patient, as_of).select("patient_id"),
-            self.source["person"].read().filter(between(F.col("birthdate"), 18)).select(F.col("person_id").alias("patient_id")),
-            visits.filter(between(day("date_started"), 13)).select("patient_id"),
+            person.filter(between("birthdate", 18, "date")).select("patient_id"),
+            visits.filter(between("date_started", 13, "timestamp_ntz")).select("patient_id"),
             aged.filter(moved).select("patient_id"),
         ]
         return reduce(DataFrame.unionByName, parts).filter("patient_id IS NOT NULL").distinct()
@@ -119,18 +137,16 @@ class DayTables:
         )
         return st.attach_reason(self._store("standing", rows), reasons).select(*st.OUT, "dis_reason")
 
-    def run(self, obs: DataFrame, before, as_of, also: DataFrame | None = None) -> DataFrame:
-        """Bring every table to `as_of`; `obs` are the observations entered on the day, `before` is the day of the
-        last run. Returns the affected patients."""
-        if not isinstance(before, dt.date) or not isinstance(as_of, dt.date):
-            before, as_of = dt.date.fromisoformat(str(before)), dt.date.fromisoformat(str(as_of))
+    def run(self, obs: DataFrame, as_of, also: DataFrame | None = None) -> DataFrame:
+        """Bring every table to `as_of`; `obs` are the observations entered on the day. Returns the affected patients.
+
+        A day may be run again, with more observations: its rows are replaced."""
+        before, as_of = self.day(), _date(as_of)
         obs = self._store("obs", obs)
         self.add(obs)
         found = self.affected(obs, before, as_of)
         who = self._store("affected", found if also is None else found.unionByName(also.select("patient_id")).distinct())
         parts = self.table["patient"].touched(who)
-        if not parts:
-            return who
         rec = self._record_of(who, parts)
         own = {t: self._of(t, who, parts) for t in REPORTS}
         context = self._store("context", shared.encounter_context(rec))
@@ -165,6 +181,7 @@ class DayTables:
         of = lambda t: self._of(t, again, ranges)
         self._put("patient_summary", again, rg.patient_summary(of("patient"), of("current_status"), of("regimens"), dimension(self.spark, "arv_status")))
         self.statuses = fresh
+        self._stand_at(as_of)
         return who
 
     def _put(self, name: str, patients: DataFrame, rows: DataFrame) -> DataFrame:

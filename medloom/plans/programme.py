@@ -78,7 +78,7 @@ PREGNANCY_DIAGNOSES = (46, 129251, 132678, 47, 163751, 1449, 118245, 129211, 141
 DUE_DATE, LAST_PERIOD = 5596, 1427
 
 
-def _pregnancy_signs(rec: Record, context: DataFrame) -> DataFrame:
+def _pregnancy_signs(rec: Record, context: DataFrame, seen: DataFrame) -> DataFrame:
     """Every entry that says a patient is pregnant, numbered by the source that reports it."""
     concept, code = F.col("concept_id"), F.col("value_coded")
     obs_cols = ["obs_id", "person_id", "encounter_id", "obs_datetime", "obs_group_id", "concept_id", "value_coded",
@@ -126,7 +126,11 @@ def _pregnancy_signs(rec: Record, context: DataFrame) -> DataFrame:
         .withColumns({"start_date": day("encounter_datetime"), "end_date": no_end})
     )
     births = of_types(context, rec.codes.encounter("labor_delivery")).select("encounter_id", "encounter_datetime")
-    labour = obs.join(births, "encounter_id").withColumns(
+    # Any entry on the form counts: the first one fixes the dates, the last one says whether it is voided.
+    entries = seen.select(
+        F.col("person_id").alias("patient_id"), "encounter_id", F.col("last_voided").alias("voided"), F.explode(F.array("first_obs", "last_obs")).alias("obs_id")
+    )
+    labour = entries.join(births, "encounter_id").withColumns(
         {
             "step": F.lit(9),
             "start_date": add_months("encounter_datetime", -9),
@@ -138,9 +142,9 @@ def _pregnancy_signs(rec: Record, context: DataFrame) -> DataFrame:
     )
 
 
-def pregnancy_start(rec: Record, encounter_context: DataFrame) -> DataFrame:
+def pregnancy_start(rec: Record, encounter_context: DataFrame, encounter_seen: DataFrame) -> DataFrame:
     """Pregnancies as first reported. The first source that reports one fixes its start."""
-    signs = _pregnancy_signs(rec, encounter_context)
+    signs = _pregnancy_signs(rec, encounter_context, encounter_seen)
     return first_and_last(
         signs, ["patient_id", "encounter_id"], ["start_date", "end_date"], ["voided"], F.struct("step", "obs_id")
     )

@@ -49,14 +49,9 @@ def patient_summary(patient: DataFrame, current_status: DataFrame, regimens: Dat
 
 
 def alert_inputs(
-    rec: Record, encounter_context: DataFrame, patient_with_status: DataFrame, patient_dispensing: DataFrame,
-    patient_laboratory: DataFrame, patient_pregnancy: DataFrame, patient_on_arv: DataFrame,
-    discontinuation_reason: DataFrame, as_of,
+    rec: Record, encounter_context: DataFrame, patient_dispensing: DataFrame, patient_laboratory: DataFrame, alert_facts: DataFrame, as_of,
 ) -> al.AlertInputs:
-    return al.AlertInputs(
-        rec, encounter_context, patient_with_status, patient_dispensing, patient_laboratory, patient_pregnancy,
-        patient_on_arv, discontinuation_reason, as_of,
-    )
+    return al.AlertInputs(rec, encounter_context, patient_dispensing, patient_laboratory, alert_facts, as_of)
 
 
 def alerts(alert_inputs: al.AlertInputs) -> DataFrame:
@@ -70,7 +65,7 @@ def first_alerts(alert_inputs: al.AlertInputs) -> DataFrame:
 BUILDERS: dict[str, Callable] = {
     f.__name__: f
     for f in (
-        shared.encounter_context, shared.drug_group, shared.drug_order,
+        shared.encounter_context, shared.encounter_seen, clinical.encounter_facts, shared.drug_group, shared.drug_order,
         people.location, people.patient, people.patient_visit,
         pharmacy.ordered_drug, pharmacy.removed_group, pharmacy.patient_prescription, pharmacy.patient_dispensing, pharmacy.patient_on_arv,
         laboratory.laboratory_order, laboratory.patient_laboratory, laboratory.virological_tests, laboratory.serological_tests,
@@ -85,7 +80,7 @@ BUILDERS: dict[str, Callable] = {
         surveillance.diagnosis_answer, surveillance.patient_diagnosis, surveillance.indicators, surveillance.weekly_indicators,
         immunisation.patient_immunization, immunisation.immunization_dose,
         st.exposed_infants, st.status_rows, st.statuses, status_history, current_status, patient_with_status,
-        regimens, patient_summary, alert_inputs, alerts, first_alerts,
+        regimens, patient_summary, al.alert_facts, alert_inputs, alerts, first_alerts,
     )
 }
 # The tables a full run leaves behind, in the order in which it writes them.

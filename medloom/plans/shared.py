@@ -42,6 +42,15 @@ def encounter_context(rec: Record) -> DataFrame:
     )
 
 
+def encounter_seen(rec: Record) -> DataFrame:
+    """What several reports ask of all observations of an encounter, whatever they are about, from one pass:
+    whether any is live, the first and the last one, and whether the last is voided. Grain: encounter, person."""
+    return rec.obs.groupBy("encounter_id", "person_id").agg(
+        F.max(F.when(live(), F.lit(True))).alias("any_live"),
+        F.min("obs_id").alias("first_obs"), F.max("obs_id").alias("last_obs"), F.max_by("voided", "obs_id").alias("last_voided"),
+    )
+
+
 def drug_group(rec: Record) -> DataFrame:
     """One row per observation group that orders or hands out a drug."""
     siblings = (POSOLOGY, DAYS, PILLS, DISPENSED_DATE)

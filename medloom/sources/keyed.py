@@ -60,6 +60,16 @@ class KeyedTable:
         """The ranges that have a folder."""
         return sorted(r[0] for r in self._stored().select(PART).distinct().collect())
 
+    def digests(self, cols: list[str]) -> DataFrame:
+        """(part, rows, one, two): per range, how many rows and two sums of hashes of their values, whatever their order."""
+        rows = self._stored().filter(LIVE)
+        total = lambda *seed: F.sum(F.xxhash64(*cols, *map(F.lit, seed)).cast("decimal(38,0)"))
+        # A hash skips NULL: say which values are.
+        nulls = F.concat(*[F.when(F.col(c).isNull(), "1").otherwise("0") for c in cols])
+        rows = rows.withColumn("_nulls", nulls)
+        cols = [*cols, "_nulls"]
+        return rows.groupBy(PART).agg(F.count("*").alias("rows"), total().alias("one"), total("two").alias("two"))
+
     def touched(self, *changes: DataFrame) -> list[int]:
         """The ranges that some rows lie in: a number per range, however many rows there are."""
         found: set[int] = set()

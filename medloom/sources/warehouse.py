@@ -22,12 +22,11 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 class Warehouse:
-    """Parquet tables under one root.
+    """Parquet tables under one root, a folder per run that wrote them: `<root>/<table>/run=<n>`.
 
-    Every write goes to a new folder and becomes current only when complete: then a new pointer, never
-    changed afterwards, names the folders of the version, and the complete pointer with the highest number
-    counts. A reader or a failed writer never sees half a table, writers in other processes are seen, and a
-    table may be rewritten from a query that reads it. One writer per table is assumed.
+    A table is rewritten into the next run's folder, which counts once Spark's writer has completed it; so a table
+    may be rewritten from a query that reads it, and a failed run leaves the one before. Appends and replaced
+    partitions change the folder of the current run in place. One writer per table is assumed.
     """
 
     def __init__(self, spark: SparkSession, root: str | None = None):
@@ -35,31 +34,37 @@ class Warehouse:
         self.root = root or f"{shared_folder(spark)}/medloom-{uuid.uuid4().hex}"
 
     def __contains__(self, name: str) -> bool:
-        return self._paths(name) is not None
-
-    def _pointers(self, name: str):
-        folder = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/_current/{name}")
-        return folder, folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
-
-    def _numbers(self, name: str) -> list[int]:
-        """Numbers of the table's pointers, complete or not."""
-        folder, fs = self._pointers(name)
-        return sorted(int(s.getPath().getName()) for s in fs.listStatus(folder)) if fs.exists(folder) else []
-
-    def _paths(self, name: str) -> list[str] | None:
-        """The folders of the current version."""
-        folder, fs = self._pointers(name)
-        for n in reversed(self._numbers(name)):
-            pointer = f"{folder.toString()}/{n:09d}"
-            if fs.exists(self.spark._jvm.org.apache.hadoop.fs.Path(f"{pointer}/_SUCCESS")):
-                return [r[0] for r in self.spark.read.text(pointer).collect()] or None
-        return None
+        return bool(self._runs(name, complete=True))
+
+    def _files(self, path: str):
+        place = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return place, place.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def _runs(self, name: str, complete: bool) -> list[tuple[int, int]]:
+        """(number, moment of completion) of the table's runs, ascending; the incomplete ones too unless `complete`."""
+        folder, fs = self._files(f"{self.root}/{name}")
+        numbers = sorted(int(s.getPath().getName()[4:]) for s in fs.listStatus(folder)) if fs.exists(folder) else []
+        out = []
+        for n in numbers:
+            done, _ = self._files(f"{self._path(name, n)}/_SUCCESS")
+            if fs.exists(done):
+                out.append((n, fs.getFileStatus(done).getModificationTime()))
+            elif not complete:
+                out.append((n, 0))
+        return out
+
+    def _path(self, name: str, run: int) -> str:
+        return f"{self.root}/{name}/run={run}"
+
+    def _current(self, name: str) -> str | None:
+        runs = self._runs(name, complete=True)
+        return self._path(name, runs[-1][0]) if runs else None
 
     def read(self, name: str) -> DataFrame:
-        paths = self._paths(name)
-        if paths is None:
+        path = self._current(name)
+        if path is None:
             raise KeyError(f"no table {name} under {self.root}")
-        return self.spark.read.parquet(*paths)
+        return self.spark.read.parquet(path)
 
     def write(
         self,
@@ -69,26 +74,20 @@ class Warehouse:
         sort_within: list[str] | None = None,
     ) -> DataFrame:
         """Replace the table. `sort_within` orders rows inside each file so that filters skip row groups."""
-        path = f"{self.root}/{name}/{uuid.uuid4().hex}"
+        path = self._path(name, max((n for n, _ in self._runs(name, complete=False)), default=0) + 1)
         if sort_within:
             df = df.sortWithinPartitions(*sort_within)
         writer = df.write.mode("errorifexists")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(path)
-        self._point(name, [path])
-        return self.read(name)
-
-    def _point(self, name: str, paths: list[str]) -> None:
-        rows = self.spark.createDataFrame([(p,) for p in paths], "path string").coalesce(1)
-        number = max(self._numbers(name), default=0) + 1
-        rows.write.mode("errorifexists").text(f"{self.root}/_current/{name}/{number:09d}")
+        return self.spark.read.parquet(path)
 
     def append(self, name: str, df: DataFrame) -> DataFrame:
-        """A version with the rows added; the files of the current one are shared, not changed."""
-        old, path = self._paths(name), f"{self.root}/{name}/{uuid.uuid4().hex}"
-        df.write.mode("errorifexists").parquet(path)
-        self._point(name, [*(old or []), path])
+        path = self._current(name)
+        if path is None:
+            return self.write(name, df)
+        df.write.mode("append").parquet(path)
         return self.read(name)
 
     def upsert(self, name: str, source: DataFrame, keys, update_cols, order_by, drop=()) -> DataFrame:
@@ -102,45 +101,37 @@ class Warehouse:
         return self.write(name, self.read(name).filter(keep).unionByName(rows))
 
     def replace_partition(self, name: str, rows: DataFrame, partition: str) -> DataFrame:
-        """Replace only the partitions (for example days) that occur in `rows`; earlier versions stay as they are."""
-        if name not in self:
+        """Replace only the partitions (for example days) that occur in `rows`, of a table written by that partition."""
+        path = self._current(name)
+        if path is None:
             return self.write(name, rows, partition_by=[partition])
         old = self.read(name)
-        fresh = rows.withColumn(partition, F.col(partition).cast(old.schema[partition].dataType))
-        kept = old.join(fresh.select(partition).distinct(), partition, "left_anti")
-        return self.write(name, kept.unionByName(fresh), partition_by=[partition])
+        rows = rows.withColumn(partition, F.col(partition).cast(old.schema[partition].dataType)).select(*old.columns)
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
+        return self.read(name)
 
     def drop(self, name: str) -> None:
-        """Forget a table: an empty pointer makes it absent. Its files stay until the folder is cleaned."""
-        self._point(name, [])
+        folder, fs = self._files(f"{self.root}/{name}")
+        fs.delete(folder, True)
 
     def expire(self, name: str, older_than: dt.timedelta) -> int:
-        """Remove versions of a table that were replaced longer ago than `older_than`; returns how many.
-
-        The current version stays, whatever its age, and so do folders that a remaining version names or that lie
-        outside this warehouse. Snapshots older than that can no longer be restored.
-        """
-        folder, fs = self._pointers(name)
-        path = self.spark._jvm.org.apache.hadoop.fs.Path
-        numbers = [n for n in self._numbers(name) if fs.exists(path(f"{folder.toString()}/{n:09d}/_SUCCESS"))]
-        written = [fs.getFileStatus(path(f"{folder.toString()}/{n:09d}/_SUCCESS")).getModificationTime() for n in numbers]
+        """Remove runs of a table that were replaced longer ago than `older_than`, but never the current one; returns how many."""
+        runs = self._runs(name, complete=True)
         limit = (time.time() - older_than.total_seconds()) * 1000
-        gone = [n for n, replaced in zip(numbers, written[1:]) if replaced < limit]
-        if not gone:
-            return 0
-        named = {n: [r[0] for r in self.spark.read.text(f"{folder.toString()}/{n:09d}").collect()] for n in numbers}
-        kept = {p for n in numbers if n not in gone for p in named[n]}
+        gone = [n for (n, _), (_, replaced) in zip(runs, runs[1:]) if replaced < limit]
         for n in gone:
-            for p in named[n]:
-                if p not in kept and p.startswith(f"{self.root}/"):
-                    fs.delete(path(p), True)
-            fs.delete(path(f"{folder.toString()}/{n:09d}"), True)
+            folder, fs = self._files(self._path(name, n))
+            fs.delete(folder, True)
         return len(gone)
 
-    def snapshot(self, names: list[str]) -> dict[str, list[str]]:
-        """Remember the current version of tables; versions never change."""
-        return {n: paths for n in names if (paths := self._paths(n)) is not None}
-
-    def restore(self, saved: dict[str, list[str]]) -> None:
-        for name, paths in saved.items():
-            self._point(name, paths)
+    def snapshot(self, names: list[str]) -> dict[str, str]:
+        """Copies of tables as they are now, by name."""
+        paths = {n: f"{self.root}/_copies/{uuid.uuid4().hex}" for n in names if n in self}
+        for n, path in paths.items():
+            self.read(n).write.parquet(path)
+        return paths
+
+    def restore(self, saved: dict[str, str]) -> None:
+        """Make copies the current tables, of this warehouse or another one's."""
+        for name, path in saved.items():
+            self.write(name, self.spark.read.parquet(path))

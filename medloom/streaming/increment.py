@@ -14,13 +14,14 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from medloom.functions.scalars import day
 from medloom.operators.merge import upsert
 from medloom.plans import shared, surveillance
+from medloom.plans.delta import DayTables
 from medloom.plans.increment import OBS_EDITS, Day, buffer_obs
 from medloom.sources.keyed import KeyedTable
 from medloom.sources.record import Record
@@ -82,22 +83,34 @@ def keep_in_buffer(buffer: KeyedTable, batch: DataFrame) -> list[int]:
 
 def start_buffer(
     obs_stream: DataFrame, buffer: KeyedTable, checkpoint: str, sequence: str = "date_created", age: str = AGE,
-    after: Callable[[DataFrame], None] | None = None, available_now: bool = False, every: str = EVERY,
+    after: Callable[[DataFrame], None] | None = None, audit: str | None = None, available_now: bool = False, every: str = EVERY,
 ) -> StreamingQuery:
-    """Keep the buffer up to date with a stream of observations and edits; `after` is called with each batch."""
+    """Keep the buffer up to date with a stream of observations and edits; `after` is called with each batch.
+
+    A batch is written once, beside the buffer, and read from there. While it is written it is observed: with
+    `audit`, a row per batch goes to that folder (`high_waters` reads it): the highest observation and how many changed.
+    """
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        try:
-            keep_in_buffer(buffer, batch)
-            if after:
-                after(batch)
-        finally:
-            batch.unpersist()
+        seen, spark, path = Observation(f"batch {batch_id}"), buffer.spark, f"{buffer.path}-batch"
+        watched = batch.observe(seen, F.max("obs_id").alias("obs_id"), F.count("*").alias("changed"))
+        watched.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+        settled = spark.read.schema(batch.schema).parquet(path)
+        keep_in_buffer(buffer, settled)
+        if audit:
+            row = spark.createDataFrame([(seen.get["obs_id"], seen.get["changed"])], "obs_id long, changed long")
+            row.write.mode("overwrite").parquet(f"{audit}/batch={batch_id}")  # a replayed batch writes its row again
+        if after:
+            after(settled)
 
     return _start(latest_edits(obs_stream, sequence, age), on_batch, checkpoint, available_now, every, "update")
 
 
+def high_waters(spark: SparkSession, audit: str) -> DataFrame:
+    """(batch, obs_id, changed): the audit rows of `start_buffer`."""
+    return spark.read.schema("obs_id long, changed long, batch long").parquet(audit).select("batch", "obs_id", "changed")
+
+
 def _trigger(writer, available_now: bool, every: str):
     return writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=every)
 
@@ -139,6 +152,24 @@ def start_increment(
     return start_buffer(obs_stream, buffer, checkpoint, sequence, age, after, available_now, every)
 
 
+def start_day_tables(
+    obs_stream: DataFrame, tables: DayTables, checkpoint: str, days: Callable[[DataFrame], list[dt.date]] = days_of,
+    sequence: str = "date_created", available_now: bool = False, every: str = EVERY, age: str = AGE,
+) -> StreamingQuery:
+    """`start_increment` whose work follows the change: each micro-batch recomputes the patients it affects.
+
+    Observations of a day before the one that the tables stand at are judged on that later day.
+    """
+    buffer = obs_buffer(tables.spark, tables.root)
+
+    def after(batch: DataFrame) -> None:
+        for as_of in days(batch):
+            tables.run(buffer.read([day_number(as_of)]), max(as_of, tables.day()))
+        expire_days(buffer, age)
+
+    return start_buffer(obs_stream, buffer, checkpoint, sequence, age, after, f"{tables.root}/audit", available_now, every)
+
+
 def expire_days(buffer: KeyedTable, age: str) -> int:
     """Remove the days that lie further back than `age` before the newest one; returns how many."""
     newest = max(buffer.parts())

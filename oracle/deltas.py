@@ -7,25 +7,32 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from medloom.operators import diff
 from medloom.plans import increment as inc
 from medloom.plans.delta import REPORTS, DayTables
 from medloom.plans.reports import Reports
 from medloom.sources.keyed import KeyedTable
 from medloom.sources.warehouse import Warehouse, shared_folder
-from oracle.operators import table
+from medloom.streaming import increment as stream
+from oracle.operators import obs_stream, table
 from oracle.recast import AS_OF
 from oracle.registry import register
 from oracle.spark_record import reports
 
 #: Orders in a range.
 WIDTH = 500
+_ONE = "SELECT DISTINCT ON (o_orderkey) o_orderkey, o_totalprice AS price, o_orderpriority AS urgency FROM orders"
+_TOP = "(SELECT max(o_orderkey) FROM orders)"
+_A_ROWS = f"SELECT * FROM ({_ONE}) WHERE 1000 * o_orderkey <= 999 * {_TOP}"
+_A_ROWS_CHANGED = f"""SELECT o_orderkey, CASE WHEN 100 * o_orderkey > 99 * {_TOP} AND o_orderkey % 7 = 0 THEN price + 1 ELSE price END AS price, urgency
+FROM ({_ONE}) WHERE 1000 * o_orderkey <> 995 * {_TOP}"""
 
 
 @register("upsert_touched", f"""
 WITH top AS (SELECT max(o_orderkey) AS m FROM orders),
 o AS (SELECT DISTINCT ON (o_orderkey) o_orderkey, o_totalprice, o_orderpriority FROM orders),
 n AS (SELECT o_orderkey, o_totalprice + 1 AS o_totalprice FROM o, top WHERE 100 * o_orderkey > 99 * m
-  UNION ALL SELECT o_orderkey + m, o_totalprice FROM o, top WHERE 200 * o_orderkey < m)
+  UNION ALL SELECT o_orderkey + m + 1, o_totalprice FROM o, top WHERE 200 * o_orderkey < m)
 SELECT o_orderkey, CASE WHEN n.o_orderkey IS NULL THEN o.o_totalprice ELSE n.o_totalprice END AS o_totalprice,
   CASE WHEN o.o_orderkey IS NULL THEN 'new' ELSE o.o_orderpriority END AS o_orderpriority,
   (SELECT count(DISTINCT o_orderkey // {WIDTH}) FROM n) AS rewritten, (SELECT count(DISTINCT o_orderkey // {WIDTH}) FROM o) AS ranges
@@ -38,31 +45,57 @@ def _upsert_touched(spark, d):
     ranges = stored.touched(stored.read())
     top, known, key = orders.agg(F.max("o_orderkey")).scalar(), stored.read(), F.col("o_orderkey")
     new = known.filter(100 * key > 99 * top).withColumn("o_totalprice", F.col("o_totalprice") + 1).unionByName(
-        known.filter(200 * key < top).withColumns({"o_orderkey": key + top, "o_orderpriority": F.lit("new")})
+        known.filter(200 * key < top).withColumns({"o_orderkey": key + top + 1, "o_orderpriority": F.lit("new")})
     )
     rewritten = stored.upsert(new, ["o_orderkey"], ["o_totalprice"], "o_totalprice")
     return stored.read().withColumns({"rewritten": F.lit(len(rewritten)), "ranges": F.lit(len(ranges))})
 
 
-_RUNS: dict[tuple[str, str], DayTables] = {}
+@register("diff_by_digest", f"""
+WITH a AS ({_A_ROWS}), b AS ({_A_ROWS_CHANGED})
+SELECT o_orderkey, CASE WHEN b.o_orderkey IS NULL THEN 'only_a' WHEN a.o_orderkey IS NULL THEN 'only_b' ELSE 'changed' END AS difference,
+  CASE WHEN a.o_orderkey IS NOT NULL AND b.o_orderkey IS NOT NULL THEN 'price' END AS columns,
+  a.price AS a_price, b.price AS b_price, a.urgency AS a_urgency, b.urgency AS b_urgency
+FROM a FULL JOIN b USING (o_orderkey) WHERE a.o_orderkey IS NULL OR b.o_orderkey IS NULL OR a.price IS DISTINCT FROM b.price""")
+def _diff_by_digest(spark, d):
+    """Two versions of the orders that differ in the last hundredth and in what came after."""
+    orders = table(spark, d, "orders").select("o_orderkey", F.col("o_totalprice").alias("price"), F.col("o_orderpriority").alias("urgency")).dropDuplicates(["o_orderkey"])
+    top, key = orders.agg(F.max("o_orderkey")).scalar(), F.col("o_orderkey")
+    root = f"{shared_folder(spark)}/versions-{uuid.uuid4().hex}"
+    one, two = (KeyedTable(spark, f"{root}/{n}", "o_orderkey", WIDTH) for n in "ab")
+    one.create(orders.filter(1000 * key <= 999 * top))
+    two.create(orders.filter(1000 * key != 995 * top).withColumn("price", F.when((100 * key > 99 * top) & (key % 7 == 0), F.col("price") + 1).otherwise(F.col("price"))))
+    return diff.keyed_diff(one, two, ["o_orderkey"], ["price", "urgency"])
 
 
-def after_a_day(spark, d: str, width: int = 100) -> DayTables:
-    """The tables after a run over the affected patients, from a state of the day before that has not seen the day's observations."""
-    key = (spark.sparkContext.applicationId, d)
+_RUNS: dict[tuple[str, str, bool], DayTables] = {}
+
+
+def _yesterday(spark, d: str, width: int) -> DayTables:
+    """Tables that stand at the day before and have not seen the day's observations."""
+    full, yesterday = reports(spark, d), dt.date.fromisoformat(AS_OF) - dt.timedelta(days=1)
+    rec = full.rec
+    earlier = Reports(rec.replace(obs=rec.obs.filter(F.col("date_created") < F.lit(AS_OF).cast("date").cast("timestamp_ntz"))), yesterday, Warehouse(spark))
+    context, t = earlier.table("encounter_context"), earlier.table
+    tables = DayTables(rec, f"{shared_folder(spark)}/day-{uuid.uuid4().hex}", width)
+    tables.start(
+        {n: full.table(n) for n in REPORTS}, full.table("status_history"), yesterday,
+        infants=inc.infants_of_day(earlier.rec, context, t("patient"), t("patient_dispensing"), t("patient_laboratory"), yesterday),
+        standing=tables.standing(earlier.rec, context, t("patient"), t("patient_on_arv"), t("discontinuation_reason"), yesterday),
+    )
+    return tables
+
+
+def after_a_day(spark, d: str, streamed: bool = False, width: int = 100) -> DayTables:
+    """The tables after a run over the patients that the day's observations affect, given at once or as a stream."""
+    key = (spark.sparkContext.applicationId, d, streamed)
     if key not in _RUNS:
-        full, today = reports(spark, d), dt.date.fromisoformat(AS_OF)
-        yesterday, rec = today - dt.timedelta(days=1), full.rec
-        entered = inc.obs_of_day(rec.obs, today)
-        earlier = Reports(rec.replace(obs=rec.obs.filter(F.col("date_created") < F.lit(AS_OF).cast("date").cast("timestamp_ntz"))), yesterday, Warehouse(spark))
-        context, t = earlier.table("encounter_context"), earlier.table
-        tables = DayTables(rec, f"{shared_folder(spark)}/day-{uuid.uuid4().hex}", width)
-        tables.start(
-            {n: full.table(n) for n in REPORTS}, full.table("status_history"), yesterday,
-            infants=inc.infants_of_day(earlier.rec, context, t("patient"), t("patient_dispensing"), t("patient_laboratory"), yesterday),
-            standing=tables.standing(earlier.rec, context, t("patient"), t("patient_on_arv"), t("discontinuation_reason"), yesterday),
-        )
-        tables.run(entered, yesterday, today)
+        today, tables = dt.date.fromisoformat(AS_OF), _yesterday(spark, d, width)
+        if streamed:
+            query = stream.start_day_tables(obs_stream(spark, d), tables, f"{tables.root}/stream", days=lambda batch: [today], available_now=True)
+            query.awaitTermination()
+        else:
+            tables.run(inc.obs_of_day(reports(spark, d).rec.obs, today), today)
         _RUNS[key] = tables
     return _RUNS[key]
 
@@ -77,3 +110,5 @@ for _name, _text, _read in (
     ("delta_virology", "virology_day", lambda t: t.table["virological_tests"].read()),
 ):
     register(_name, _text)(lambda spark, d, read=_read: read(after_a_day(spark, d)))
+
+register("stream_delta_statuses", "statuses_day")(lambda spark, d: after_a_day(spark, d, streamed=True).statuses)

@@ -568,6 +568,29 @@ SELECT event_id AS obs_id, event_type AS concept, CASE WHEN value > 80 THEN 2 *
   CASE WHEN value > 50 AND value <= 80 THEN 1 ELSE 0 END AS voided FROM events""")
 def _stream_edits(spark, d):
     """Rows and up to two edits of each come in three batches in the wrong order; the highest sequence wins."""
+    return _edited(spark, d)[0].read().select("obs_id", "concept", "value_numeric", "voided")
+
+
+@register("stream_high_water", """
+SELECT 0 AS batch, max(event_id) AS obs_id, count(*) AS changed FROM events WHERE event_id % 2 = 1 OR value > 50
+UNION ALL SELECT 1, max(event_id), count(*) FROM events WHERE value > 80
+UNION ALL SELECT 2, max(event_id), count(*) FROM events WHERE event_id % 2 = 0 OR value > 50""")
+def _stream_high_water(spark, d):
+    """What the three batches of edits held, observed while they were written."""
+    return stream.high_waters(spark, _edited(spark, d)[1])
+
+
+_EDITED: dict = {}
+
+
+def _edited(spark, d):
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _EDITED:
+        _EDITED[key] = _edit_in_three_batches(spark, d)
+    return _EDITED[key]
+
+
+def _edit_in_three_batches(spark, d):
     rows = table(spark, d, "events").select(
         F.col("event_id").alias("obs_id"), F.col("event_type").alias("concept"), F.col("ts").alias("date_created"), F.col("value").alias("value_numeric"),
     )
@@ -581,11 +604,11 @@ def _stream_edits(spark, d):
         edits.filter(F.col("batch") == batch).drop("batch").coalesce(1).write.mode("append").parquet(f"{root}/in")
     arriving = spark.readStream.schema(edits.drop("batch").schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
     buffer = stream.obs_buffer(spark, root)
-    stream.start_buffer(arriving, buffer, f"{root}/stream", "sequence", age="60 days", available_now=True).awaitTermination()
-    return buffer.read().select("obs_id", "concept", "value_numeric", "voided")
+    stream.start_buffer(arriving, buffer, f"{root}/stream", "sequence", age="60 days", audit=f"{root}/audit", available_now=True).awaitTermination()
+    return buffer, f"{root}/audit"
 
 
-def _obs_stream(spark: SparkSession, d: str) -> DataFrame:
+def obs_stream(spark: SparkSession, d: str) -> DataFrame:
     root = stage(spark, d)
     rows = spark.readStream.schema(spark.read.parquet(f"{root}/obs").schema).parquet(f"{root}/obs")
     return rows.filter(F.col("date_created") >= F.lit(AS_OF).cast("date").cast("timestamp_ntz"))  # the record's earlier days are loaded
@@ -600,9 +623,10 @@ def _streamed(spark: SparkSession, d: str) -> Warehouse:
     if key not in _STREAMED:
         full, store = reports(spark, d), Warehouse(spark)
         for name in STATE:
-            store.restore({name: full.warehouse.snapshot([name]).get(name) or (full.table(name), full.warehouse.snapshot([name])[name])[1]})
+            full.table(name)
+        store.restore(full.warehouse.snapshot(list(STATE)))
         stream.start_increment(
-            _obs_stream(spark, d), full.rec, store, f"{store.root}/stream", days=lambda batch: [dt.date.fromisoformat(AS_OF)],
+            obs_stream(spark, d), full.rec, store, f"{store.root}/stream", days=lambda batch: [dt.date.fromisoformat(AS_OF)],
             available_now=True,
         ).awaitTermination()
         _STREAMED[key] = store
@@ -628,7 +652,7 @@ def _stream_indicators(spark, d):
     full.table("patient")
     store.restore(full.warehouse.snapshot(["patient"]))
     stream.start_surveillance(
-        _obs_stream(spark, d), full.rec, store, f"{store.root}/stream", days=lambda batch: [dt.date.fromisoformat(AS_OF)],
+        obs_stream(spark, d), full.rec, store, f"{store.root}/stream", days=lambda batch: [dt.date.fromisoformat(AS_OF)],
         available_now=True,
     ).awaitTermination()
     return store.read("indicators")

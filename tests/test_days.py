@@ -99,24 +99,24 @@ def test_append_after_a_snapshot_leaves_the_snapshot(spark):
     assert store.read("d").count() == 6
 
 
-def test_replaced_versions_expire_and_shared_folders_stay(spark, tmp_path):
+def test_replaced_runs_expire(spark, tmp_path):
     store, other = Warehouse(spark, str(tmp_path / "w")), Warehouse(spark, str(tmp_path / "o"))
     other.write("t", spark.range(2))
     store.restore(other.snapshot(["t"]))
     store.write("t", spark.range(5))
     store.append("t", spark.range(1))
     assert store.expire("t", dt.timedelta(days=1)) == 0
-    assert store.expire("t", dt.timedelta(seconds=-5)) == 2
+    assert store.expire("t", dt.timedelta(seconds=-5)) == 1  # the append went to the current run
     assert store.read("t").count() == 6 and other.read("t").count() == 2
     store.write("t", spark.range(3))
     assert store.expire("t", dt.timedelta(seconds=-5)) == 1 and store.read("t").count() == 3
     assert len(list((tmp_path / "w/t").iterdir())) == 1
 
 
-def test_an_unfinished_pointer_does_not_count(spark, tmp_path):
+def test_an_unfinished_run_does_not_count(spark, tmp_path):
     store = Warehouse(spark, str(tmp_path / "w"))
     store.write("t", spark.range(5))
-    (tmp_path / "w/_current/t/000000002").mkdir()
+    (tmp_path / "w/t/run=2").mkdir()
     assert store.read("t").count() == 5
     assert store.append("t", spark.range(1)).count() == 6
 

@@ -7,7 +7,7 @@ import datetime as dt
 from conftest import rows
 from pyspark.sql import functions as F
 
-from medloom.operators import merge
+from medloom.operators import diff, merge
 from medloom.plans import increment as inc
 from medloom.plans.delta import REPORTS, DayTables
 from medloom.plans.reports import Reports
@@ -44,6 +44,19 @@ def test_a_range_without_rows_is_emptied(spark, tmp_path):
     assert table.read([1]).count() == 1 and table.expire(2) == 2 and rows(table.read(), "id") == [(i,) for i in range(20, 30)]
 
 
+def test_a_difference_reads_the_ranges_that_differ(spark, tmp_path):
+    rows_ = spark.range(100).select("id", (F.col("id") * 2).alias("v"), F.when(F.col("id") % 3 == 0, F.lit("x")).alias("w"))
+    one, two = (KeyedTable(spark, str(tmp_path / n), "id", 10) for n in "ab")
+    one.create(rows_)
+    two.create(rows_.filter("id <> 55").withColumn("w", F.when(F.col("id") == 12, F.lit(None)).when(F.col("id") == 13, F.lit("y")).otherwise(F.col("w"))))
+    got = diff.keyed_diff(one, two, ["id"], ["v", "w"])
+    assert set(got.collect()) == set(diff.table_diff(one.read(), two.read(), ["id"], ["v", "w"]).collect())
+    assert rows(got, "id") == [(12,), (13,), (55,)]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("part#") and all(part not in plan for part in ("part=2", "part=9"))
+    assert diff.keyed_diff(one, one, ["id"], ["v", "w"]).count() == 0
+
+
 def test_an_empty_table_can_be_read_and_filled(spark, tmp_path):
     table = KeyedTable(spark, str(tmp_path / "t"), "id", 10)
     table.create(spark.range(0))
@@ -103,7 +116,7 @@ def test_a_day_over_the_affected_patients_equals_one_over_all(spark, chart, tmp_
     before = Reports(earlier, "2001-07-31")
     tables = DayTables(rec, str(tmp_path / "d"), width=2)
     tables.start({n: before.table(n) for n in REPORTS}, before.table("status_history"), dt.date(2001, 7, 31))
-    who = tables.run(new, dt.date(2001, 7, 31), today)
+    who = tables.run(new, today)
     assert {1, 3} <= {r[0] for r in who.collect()} and 5 not in {r[0] for r in who.collect()}
     after = Warehouse(spark)
     inc.Day(rec, "2001-08-01", lambda n: after.read(n) if n in after else before.table(n), after.write).run(new)
