@@ -13,13 +13,15 @@ Every row is in the index. Blocks and groups of queries have bounded size, and a
 best rows of all blocks keeps the nearest k.
 
 Defined cases: rows with a null id, and vectors that are null, zero or hold null or non-finite components,
-take no part. Only vectors of the most frequent length do (ties: the longer). A repeated query id asks once,
-with its smallest vector; rows that share the query's id are never its candidates; other repeated rows each
+take no part. Vectors of each length are searched by themselves. A repeated query id asks once per length, with
+its smallest vector, and is ranked over all; rows that share the query's id are never its candidates; other repeated rows each
 count. Other columns are not read. An empty table gives no rows.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -27,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from medloom.llm.common import prepare, stored
-from medloom.llm.topk import best_rows, lifted, main_length, matrix, usable
+from medloom.llm.topk import best_rows, lengths, lifted, matrix, usable
 
 BLOCK_ROWS, QUERY_ROWS, PROJECTIONS = 8192, 1024, 64
 #: Share of the windows a vector must be in; share of a block verified before a search may stop; first width
@@ -76,20 +78,32 @@ def nearest(
     threshold: float = THRESHOLD, enough: float = ENOUGH, block_rows: int = BLOCK_ROWS, query_rows: int = QUERY_ROWS,
 ) -> DataFrame:
     """Each query's k nearest found: query_id, rank, vec_id, score. `is_query` is a condition on the column `id`."""
-    schema = "query_id long, rank int, vec_id long, score double"
     spark = vectors.sparkSession
     prepare(spark)
     squared = F.aggregate("x", F.lit(0.0), lambda a, c: a + c * c)
     whole = usable(vectors, id_col, vec_col).filter(F.exists("x", lambda c: c != 0))
-    if (facts := main_length(whole, squared)) is None:
-        return spark.createDataFrame([], schema)
-    dim, bound, total = facts
-    whole = whole.filter(F.size("x") == dim)
+    found = [
+        _of_length(whole.filter(F.size("x") == dim), is_query, dim, bound, total, k, projections, threshold, enough, block_rows, query_rows)
+        for dim, bound, total in lengths(whole, squared)
+    ]
+    if not found:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    ranked = reduce(DataFrame.unionByName, found).withColumn("rank", F.row_number().over(order))
+    return ranked.filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+def _of_length(
+    whole: DataFrame, is_query: Column, dim: int, bound: float, total: int, k: int, projections: int, threshold: float, enough: float,
+    block_rows: int, query_rows: int,
+) -> DataFrame:
+    """(query_id, vec_id, score): the nearest found in each block, for vectors of one length."""
     blocks = max(1, -(-total // block_rows))
     lines = directions(dim + 1, projections)
     # A difference of two typical vectors, along one direction.
     typical = np.sqrt(2 * bound / (dim + 1))
-    in_block = F.pmod(F.xxhash64("id", "x"), F.lit(blocks)).cast("int")
+    # By the row's place too, so that equal rows spread like others.
+    in_block = F.pmod(F.xxhash64("id", "x", F.monotonically_increasing_id()), F.lit(blocks)).cast("int")
 
     def build(block):
         x, ids = matrix(block["x"], dim), block["id"]
@@ -131,6 +145,4 @@ def nearest(
         return pa.table(dict(zip(("query_id", "vec_id", "score"), (np.concatenate(c) for c in zip(*out)))))
 
     spread = index.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
-    found = sides.groupBy("block", "part").cogroup(spread.groupBy("block", "part")).applyInArrow(search, "query_id long, vec_id long, score double")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return sides.groupBy("block", "part").cogroup(spread.groupBy("block", "part")).applyInArrow(search, "query_id long, vec_id long, score double")

@@ -35,18 +35,18 @@ def whole_row(df: DataFrame, without: str | None = None) -> Column:
     return F.struct(*[F.col("`" + c.replace("`", "``") + "`") for c in df.columns if c != without])
 
 
-#: Hashes that `chosen` compares are below.
+#: The highest hash that `chosen` compares.
 HASHES = (1 << 63) - 1
 
 
 def bound_for(about: int, total: int) -> int:
-    """The hash below which about `about` of `total` rows lie; never 0, however many rows there are."""
+    """The hash up to which about `about` of `total` rows lie; never 0, however many rows there are."""
     return min(HASHES, max(1, HASHES * about // max(1, total)))
 
 
 def chosen(bound: int, *by: str, salt: str) -> Column:
-    """Whether a row's hash is below the bound."""
-    return F.shiftrightunsigned(F.xxhash64(*by, F.lit(salt)), 1) < F.lit(bound)
+    """Whether a row's hash lies within the bound."""
+    return F.shiftrightunsigned(F.xxhash64(*by, F.lit(salt)), 1) <= F.lit(bound)
 
 
 def shared_root(spark: SparkSession) -> str:

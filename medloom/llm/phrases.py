@@ -40,7 +40,7 @@ from pyspark.sql.window import Window
 from medloom.llm.common import prepare, stored
 
 #: Places of a bitmap at most; bytes of text that a task looks at together; share of the documents in the sample.
-BITS, CHUNK, SHARE, SAMPLED_LEAST = 1 << 28, 4 << 20, 0.1, 2
+BITS, CHUNK, SHARE, SAMPLED_LEAST = 1 << 28, 1 << 20, 0.1, 2
 #: Parts that a language's candidates are ranked in before the best ones of each part meet.
 PARTS = 64
 
@@ -63,18 +63,23 @@ class Powers:
     """Powers of two bases and of the first one's inverse, made longer as texts need them."""
 
     def __init__(self):
-        self.n = 0
+        self.n, self.prime = 0, np.ones(1, np.uint64)
 
     def of(self, n: int) -> Powers:
         if n > self.n:
             self.n = max(n, CHUNK + 4096)
-            run = lambda base: np.cumprod(np.r_[np.uint64(1), np.full(self.n, base, np.uint64)])
-            self.up, self.down = run(_BASE), run(pow(_BASE, -1, 1 << 64))
-            self.prime = np.ones(1, np.uint64)
-            while len(self.prime) <= self.n:
-                self.prime = np.r_[self.prime, self.prime * np.uint64(pow(_ROOT, len(self.prime), int(_PRIME))) % _PRIME]
+            self.up, self.down = (np.full(self.n + 1, base, np.uint64) for base in (_BASE, pow(_BASE, -1, 1 << 64)))
+            for powers in (self.up, self.down):
+                powers[0] = 1
+                np.cumprod(powers, out=powers)
         return self
 
+    def modulo(self, n: int) -> np.ndarray:
+        """Powers of the other base, modulo a prime."""
+        while len(self.prime) <= n:
+            self.prime = np.r_[self.prime, self.prime * np.uint64(pow(_ROOT, len(self.prime), int(_PRIME))) % _PRIME]
+        return self.prime
+
 
 _POWERS = Powers()
 
@@ -89,8 +94,8 @@ class Words:
         self.piece = np.searchsorted(np.flatnonzero(kind == 2), self.start)
         self.text = _LOWER[data]
         size = stop - self.start
-        value = self.text.astype(np.uint64) + np.uint64(1)
-        total = np.r_[np.uint64(0), np.cumsum(value * powers.up[:len(data)])]
+        total = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum((self.text.astype(np.uint64) + np.uint64(1)) * powers.up[:len(data)], out=total[1:])
         self.hash = mixed((total[stop] - total[self.start]) * powers.down[self.start] + size.astype(np.uint64))
         # The same texts with one space after each word and nothing else between them.
         keep = kind == 0
@@ -116,7 +121,8 @@ class Words:
 
     def second(self, start: np.ndarray, m: int) -> np.ndarray:
         """Another digest of the m words from each of `start` on, comparable within this run of texts."""
-        p, n = _POWERS.of(len(self.close) + 1).prime, len(self.close)
+        n = len(self.close)
+        p = _POWERS.modulo(n + 1)
         if not hasattr(self, "sums"):
             self.sums = np.r_[np.uint64(0), np.cumsum((self.close.astype(np.uint64) + np.uint64(1)) * p[:n] % _PRIME)]
         a, z = self.begin[start], self.stop[start + m - 1]

@@ -196,10 +196,13 @@ def fit(docs: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col:
             )
 
     # Copies of a row count once. Where a few rows are nearly all, the hash may miss them at first.
-    bound, got = bound_for(sample, int(seen["n"].sum())), None
-    while got is None or not got.num_rows and bound < HASHES:
+    bound = bound_for(sample, int(seen["n"].sum()))
+    while True:
         some = rows.filter(chosen(bound, "id", "text", salt="quality")).dropDuplicates(["id", "text"])
-        got, bound = some.mapInArrow(learn, "x array<float>, y double").toArrow(), min(HASHES, 1000 * bound)
+        got = some.mapInArrow(learn, "x array<float>, y double").toArrow()
+        if got.num_rows or bound == HASHES:
+            break
+        bound = min(HASHES, 1000 * bound)
     if not got.num_rows:
         raise RuntimeError("no text was sampled")
     x = got["x"].combine_chunks().flatten().to_numpy().reshape(-1, BUCKETS).astype(np.float64)

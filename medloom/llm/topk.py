@@ -9,17 +9,20 @@ candidate gets one more coordinate, sqrt(M - |x|^2) with M the largest squared n
    on the distance of its k-th neighbour and, per candidate cell, the least distance from the pivot
    that a candidate needs to matter;
 3. candidates go only to the query cells that need them, split into chunks of bounded size, and each
-   (query block, chunk) is solved by itself; a window over the survivors keeps the best k.
+   (query block, chunk) is solved by itself; a window over the survivors keeps the best k. Query cells that
+   need most candidates anyway are solved together, as many as fill a query block, so that a candidate is
+   copied once for them all.
 
 Defined cases: rows with a null id, and vectors that are null or hold null or non-finite components, take
-no part. Only vectors of the most frequent length do (ties: the longer). A repeated query id asks once,
-with its smallest vector; rows that share the query's id are never its candidates; other repeated rows
+no part. Vectors of each length are searched by themselves: a product of unlike lengths is not defined. A
+repeated query id asks once per length, with its smallest vector, and is ranked over all; rows that share the query's id are never its candidates; other repeated rows
 each count. Other columns are not read. An empty table gives no rows. Products are 64-bit integers.
 """
 
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -48,13 +51,10 @@ def usable(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     )
 
 
-def main_length(df: DataFrame, norm: Column) -> tuple[int, float, int] | None:
-    """Most frequent vector length, the largest `norm` and the number of rows of that length."""
-    row = (
-        df.groupBy(F.size("x").alias("dim")).agg(F.max(norm).alias("m"), F.count("*").alias("n"))
-        .orderBy(F.desc("n"), F.desc("dim")).first()
-    )
-    return (row["dim"], float(row["m"]), row["n"]) if row else None
+def lengths(df: DataFrame, norm: Column) -> list[tuple[int, float, int]]:
+    """Each vector length with its largest `norm` and its number of rows."""
+    rows = df.groupBy(F.size("x").alias("dim")).agg(F.max(norm).alias("m"), F.count("*").alias("n")).orderBy("dim").collect()
+    return [(r["dim"], float(r["m"]), r["n"]) for r in rows]
 
 
 def pick_pivots(points: np.ndarray, n: int) -> np.ndarray:
@@ -88,15 +88,24 @@ def top_k(
 
     `is_query` is a condition on the column `id`. `sample` bounds the rows the pivots are chosen from.
     """
-    schema = "query_id long, rank int, vec_id long, score long"
     spark = vectors.sparkSession
     prepare(spark)
     whole = usable(vectors, id_col, vec_col).withColumn("x", F.transform("x", lambda c: F.floor(c * F.lit(float(scale))).cast("long")))
     squared = F.aggregate("x", F.lit(0.0), lambda a, c: a + c.cast("double") * c.cast("double"))
-    if (facts := main_length(whole, squared)) is None:
-        return spark.createDataFrame([], schema)
-    dim, bound, _ = facts
-    whole = whole.filter(F.size("x") == dim)
+    found = [
+        _of_length(whole.filter(F.size("x") == dim), is_query, dim, bound, k, pivots, sample, chunk_rows, query_rows) for dim, bound, _ in lengths(whole, squared)
+    ]
+    if not found:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    ranked = reduce(DataFrame.unionByName, found).withColumn("rank", F.row_number().over(order))
+    return ranked.filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+def _of_length(
+    whole: DataFrame, is_query: Column, dim: int, bound: float, k: int, pivots: int, sample: int, chunk_rows: int, query_rows: int
+) -> DataFrame:
+    """(query_id, vec_id, score): the best of each chunk, for vectors of one length."""
     few = whole.orderBy(F.xxhash64("id"), "id").limit(sample).select("x").toArrow()
     points = pick_pivots(lifted(matrix(few["x"], dim), bound), pivots)
     n = len(points)
@@ -134,6 +143,16 @@ def top_k(
         upper = sorted(reach[i] + between[i, r["cell"]] + r["dist"] for r in closest)
         theta = upper[k + own - 1] if len(upper) >= k + own else np.inf
         least[i] = between[i] - reach[i] - theta - slack
+    # Query cells whose bounds leave out less than half of the candidates share a group, while a block holds their queries.
+    group, at, room = np.arange(n), -1, 0
+    for i in np.flatnonzero(asking):
+        if 2 * sum(size[j] for j in range(n) if least[i, j] <= extent[j]) <= size.sum():
+            continue
+        if at < 0 or room < asking[i]:
+            at = i
+        else:
+            least[at], asking[at], asking[i] = np.minimum(least[at], least[i]), asking[at] + asking[i], 0
+        group[i], room = at, query_rows - asking[at]
     needed = [int(sum(size[j] for j in range(n) if least[i, j] <= extent[j])) for i in range(n)]
     chunks = np.array([max(1, -(-needed[i] // chunk_rows)) for i in range(n)])
     blocks = np.maximum(1, -(-asking // query_rows))
@@ -156,7 +175,8 @@ def top_k(
     keyed = "cell int, block int, chunk int, id long, x array<long>"
     split = F.element_at(F.array(*[F.lit(int(c)) for c in chunks]), F.col("cell") + 1)
     per = F.element_at(F.array(*[F.lit(int(c)) for c in blocks]), F.col("cell") + 1)
-    sides = queries.select(
+    grouped = queries.withColumn("cell", F.element_at(F.array(*[F.lit(int(g)) for g in group]), F.col("cell") + 1))
+    sides = grouped.select(
         "cell", F.pmod(F.xxhash64("id"), per.cast("long")).cast("int").alias("block"), F.explode(F.sequence(F.lit(0), split - 1)).alias("chunk"), "id", "x"
     )
 
@@ -175,8 +195,6 @@ def top_k(
         cols = [np.concatenate(c) for c in zip(*out)] if out else [np.zeros(0, np.int64)] * 3
         return pa.table(dict(zip(("query_id", "vec_id", "score"), cols)))
 
-    found = sides.groupBy("cell", "block", "chunk").cogroup(
+    return sides.groupBy("cell", "block", "chunk").cogroup(
         data.mapInArrow(replicate, keyed).groupBy("cell", "block", "chunk")
     ).applyInArrow(solve, "query_id long, vec_id long, score long")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

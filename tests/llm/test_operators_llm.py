@@ -190,6 +190,20 @@ def test_top_k_equals_brute_force(spark, sizes):
     assert len(few) == 3
 
 
+def test_vectors_of_each_length_are_searched(spark):
+    rows = [(i, [float(i % 5 + 1), 0.5 * i, 1.0][: 2 + i % 2]) for i in range(1, 61)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    exact = topk.top_k(df, F.col("id") % 20 == 0, k=3, scale=4).collect()
+    near = collide.nearest(df, F.col("id") % 20 == 0, k=3, enough=1.0).collect()
+    for q, v in rows[19::20]:
+        same = [(i, w) for i, w in rows if i != q and len(w) == len(v)]
+        by = lambda f: [i for _, i in sorted((-f(v, w), i) for i, w in same)[:3]]
+        dot = lambda a, b: sum(x * y for x, y in zip(a, b))
+        whole = lambda a: [int(np.floor(4 * x)) for x in a]
+        assert [r["vec_id"] for r in sorted(exact, key=lambda r: r["rank"]) if r["query_id"] == q] == by(lambda a, b: dot(whole(a), whole(b)))
+        assert [r["vec_id"] for r in sorted(near, key=lambda r: r["rank"]) if r["query_id"] == q] == by(dot)
+
+
 def test_collision_search_recalls_and_scores_exactly(spark):
     x, zero, twins, df = vectors(spark, 2000, 24)
     got = collide.nearest(df, F.col("id") % 100 == 0, k=20, block_rows=600, query_rows=8).collect()
@@ -304,7 +318,7 @@ def test_the_composed_machine_writes_what_the_five_write_one_after_the_other():
 
 def test_insults_are_learned_where_clean_texts_deny_and_quote_them(spark):
     toxic = [(f"you are a moron number {i} and everybody knows it.", 1) for i in range(36)]
-    clean = [(f"the river number {i} is not wide and people walk beside it.", 0) for i in range(230)]
+    clean = [(f"there are a few stones and everybody knows it, number {i}. the river is not wide.", 0) for i in range(230)]
     clean += [("he is not a moron.", 0)] * 8 + [('"moron" is what she said.', 0)] * 8 + [("they told him he was a moron.", 0)] * 8
     sample = spark.createDataFrame([(t, y) for t, y in toxic + clean], "text string, toxic int")
     g = toxicity.learn(sample)
