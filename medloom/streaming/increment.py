@@ -149,7 +149,7 @@ def start_increment(
                 warehouse.expire(name, keep)
         expire_days(buffer, age)
 
-    return start_buffer(obs_stream, buffer, checkpoint, sequence, age, after, available_now, every)
+    return start_buffer(obs_stream, buffer, checkpoint, sequence, age, after, available_now=available_now, every=every)
 
 
 def start_day_tables(
@@ -205,7 +205,7 @@ def start_surveillance(
             refresh_surveillance(rec, buffer.read([day_number(as_of)]), warehouse)
         expire_days(buffer, age)
 
-    return start_buffer(obs_stream, buffer, checkpoint, sequence, age, after, available_now, every)
+    return start_buffer(obs_stream, buffer, checkpoint, sequence, age, after, available_now=available_now, every=every)
 
 
 def daily_counts(obs_stream: DataFrame, ts_col: str, key: str, late: str = "1 day") -> DataFrame:
