@@ -7,9 +7,10 @@ frequent only if its beginning and its end, one word less each, are, so
 2. a full pass counts, over all documents, the proposed phrases and their negative border: those not
    proposed whose beginning and end are, and every single word. Border phrases that never occur need no
    count, so the border is walked in the texts instead of being written out;
-3. a border phrase that turns out frequent is a failure of the sample: then all frequent phrases known so far
-   become the proposal, and a further pass counts what has come within its border since, until a pass has
-   no failure. Then no frequent phrase is left out, whatever the sample was;
+3. a border phrase that turns out frequent is a failure of the sample: then the frequent phrases become the
+   proposal, and an expansion pass counts what has come within the border since. A phrase that no pass has
+   counted may be frequent, so what it encloses with others is counted along with it, level by level in the
+   same pass: that closes the border, and no frequent phrase is left out, whatever the sample was;
 4. a last pass counts the frequent phrases word by word, as text.
 
 Passes 1 to 3 name a phrase by a 64-bit digest that is summed up in each task before it is shuffled. Two
@@ -41,6 +42,8 @@ from medloom.llm.common import prepare, stored
 
 #: Places of a bitmap at most; bytes of text that a task looks at together; share of the documents in the sample.
 BITS, CHUNK, SHARE, SAMPLED_LEAST = 1 << 28, 1 << 20, 0.1, 2
+#: Digests that a task sums up together, and phrases.
+SUMMED, GATHERED = 2_000_000, 1_000_000
 #: Parts that a language's candidates are ranked in before the best ones of each part meet.
 PARTS = 64
 
@@ -63,7 +66,7 @@ class Powers:
     """Powers of two bases and of the first one's inverse, made longer as texts need them."""
 
     def __init__(self):
-        self.n, self.prime = 0, np.ones(1, np.uint64)
+        self.n, self.prime, self.inverse = 0, np.ones(1, np.uint64), np.ones(1, np.uint64)
 
     def of(self, n: int) -> Powers:
         if n > self.n:
@@ -74,11 +77,12 @@ class Powers:
                 np.cumprod(powers, out=powers)
         return self
 
-    def modulo(self, n: int) -> np.ndarray:
-        """Powers of the other base, modulo a prime."""
+    def modulo(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Powers of the other base and of its inverse, modulo a prime."""
+        longer = lambda x, base: np.r_[x, x * np.uint64(pow(base, len(x), int(_PRIME))) % _PRIME]
         while len(self.prime) <= n:
-            self.prime = np.r_[self.prime, self.prime * np.uint64(pow(_ROOT, len(self.prime), int(_PRIME))) % _PRIME]
-        return self.prime
+            self.prime, self.inverse = longer(self.prime, _ROOT), longer(self.inverse, pow(_ROOT, -1, int(_PRIME)))
+        return self.prime, self.inverse
 
 
 _POWERS = Powers()
@@ -120,13 +124,12 @@ class Words:
         return out
 
     def second(self, start: np.ndarray, m: int) -> np.ndarray:
-        """Another digest of the m words from each of `start` on, comparable within this run of texts."""
-        n = len(self.close)
-        p = _POWERS.modulo(n + 1)
+        """Another digest of the m words from each of `start` on."""
+        up, down = _POWERS.modulo(len(self.close))
         if not hasattr(self, "sums"):
-            self.sums = np.r_[np.uint64(0), np.cumsum((self.close.astype(np.uint64) + np.uint64(1)) * p[:n] % _PRIME)]
+            self.sums = np.r_[np.uint64(0), np.cumsum((self.close.astype(np.uint64) + np.uint64(1)) * up[:len(self.close)] % _PRIME)]
         a, z = self.begin[start], self.stop[start + m - 1]
-        return (self.sums[z] - self.sums[a]) % _PRIME * p[n - a] % _PRIME
+        return (self.sums[z] - self.sums[a]) % _PRIME * down[a] % _PRIME
 
 
 def runs(batch: pa.RecordBatch):
@@ -180,25 +183,43 @@ class Proposal:
 
 
 def counted(docs: DataFrame, longest: int, proposals: list[Proposal]) -> DataFrame:
-    """(key, n): occurrences of each phrase in the last proposal or its border that is in no earlier one's; of every phrase without proposals."""
+    """(key, n): occurrences of every phrase without proposals; with one, of its phrases and their border; with a
+    second one, the frequent phrases of that pass, of all that they and uncounted phrases enclose."""
+
+    def take(words: Words, digests: list[np.ndarray]):
+        """Which phrases to count, by number of words."""
+        held = [[p.holds(d) for d in digests[:-1]] for p in proposals]
+        inside = lambda of: of[:-1] & of[1:]
+        for m in range(1, len(digests) + 1):
+            valid = words.phrases(m)
+            if not proposals:
+                yield valid
+            elif m == 1:
+                possible = held[-1][0]  # every word is counted by the first pass
+                yield valid & (len(proposals) == 1)
+            elif len(proposals) == 1:
+                yield valid & inside(held[0][m - 2])
+            else:
+                before, around = inside(held[0][m - 2]), inside(possible)
+                yield valid & around & ~before
+                if m < len(digests):
+                    possible = np.where(before, held[1][m - 1], around)
+
+    def summed(parts: list[np.ndarray]) -> pa.RecordBatch:
+        key, n = np.unique(np.concatenate(parts), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n)], ["key", "n"])
 
     def run(batches):
+        parts, size = [], 0
         for words, _, _, seed in itertools.chain.from_iterable(map(runs, batches)):
             digests = words.digests(seed, longest)
-            held = [[p.holds(d) for p in proposals] for d in digests[:-1]]
-            out = []
-            for m, digest in enumerate(digests, 1):
-                take = words.phrases(m)
-                if m == 1 and len(proposals) > 1:
-                    continue  # the first full pass counted all words
-                if m > 1 and proposals:
-                    *before, now = [h[:-1] & h[1:] for h in held[m - 2]]
-                    take = take & now
-                    for b in before:
-                        take &= ~b
-                out.append(digest[take])
-            key, n = np.unique(np.concatenate([*out, np.empty(0, np.uint64)]), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n)], ["key", "n"])
+            parts.extend(d[t] for d, t in zip(digests, take(words, digests)))
+            size += sum(map(len, parts[-longest:]))
+            if size >= SUMMED:
+                yield summed(parts)
+                parts, size = [], 0
+        if parts:
+            yield summed(parts)
 
     return docs.mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
 
@@ -216,27 +237,45 @@ def border_failures(found: DataFrame, proposal: Proposal) -> int:
 def as_text(docs: DataFrame, longest: int, proposal: Proposal) -> DataFrame:
     """(lang, words, phrase, n): occurrences of the phrases that the proposal holds; with 0 words, those of all words of a language."""
 
+    def gathered(parts: list[tuple]) -> pa.RecordBatch:
+        digest, second, lang, m, n = (np.concatenate(x) for x in list(zip(*parts))[:5])
+        phrase = np.array(list(itertools.chain.from_iterable(x[5] for x in parts)), dtype=object)
+        _, first, group = np.unique(digest, return_index=True, return_inverse=True)
+        # Unlike phrases with one digest are given back one by one.
+        unlike = np.zeros(len(first), bool)
+        unlike[group[(second != second[first][group]) | (lang != lang[first][group]) | (m != m[first][group])]] = True
+        total = np.zeros(len(first), np.int64)
+        np.add.at(total, group, n)
+        at, n = np.r_[first[~unlike], np.flatnonzero(unlike[group])], np.r_[total[~unlike], n[unlike[group]]]
+        cols = [pa.array(lang[at], pa.string()), pa.array(m[at]), pa.array(phrase[at], pa.binary()).cast(pa.string()), pa.array(n)]
+        return pa.RecordBatch.from_arrays(cols, ["lang", "words", "phrase", "n"])
+
     def run(batches):
+        parts, size = [], 0
         for words, of, names, seed in itertools.chain.from_iterable(map(runs, batches)):
-            total = np.bincount(of, minlength=len(names))
+            names, total = np.array(names, dtype=object), np.bincount(of, minlength=len(names))
             some = np.flatnonzero(total)
-            rows = [(some, np.zeros(len(some), np.int32), [b""] * len(some), total[some])]
+            _, at = np.unique(of, return_index=True)
+            parts.append((mixed(seed[at]), np.zeros(len(some), np.uint64), names[some], np.zeros(len(some), np.int32), total[some], [b""] * len(some)))
             text = words.close.tobytes()
             for m, digest in enumerate(words.digests(seed, longest), 1):
                 at = np.flatnonzero(words.phrases(m))
                 at = at[proposal.holds(digest[at])]
-                _, first, group, n = np.unique(digest[at], return_index=True, return_inverse=True, return_counts=True)
-                # Unlike phrases with one digest are counted one by one.
                 second = words.second(at, m)
-                unlike = np.zeros(len(first), bool)
-                unlike[group[(second != second[first][group]) | (of[at] != of[at][first][group])]] = True
-                at, n = np.r_[at[first[~unlike]], at[unlike[group]]], np.r_[n[~unlike], np.ones(unlike[group].sum(), n.dtype)]
+                # Equal phrases of one run of texts count together here, so that each is cut out of it once.
+                order = np.argsort(digest[at])
+                at, second = at[order], second[order]
+                new = np.flatnonzero(np.r_[True, (digest[at][1:] != digest[at][:-1]) | (second[1:] != second[:-1]) | (of[at][1:] != of[at][:-1])][:len(at)])
+                n = np.diff(np.r_[new, len(at)])
+                at, second = at[new], second[new]
                 phrase = [text[a:z] for a, z in zip(words.begin[at].tolist(), words.stop[at + m - 1].tolist())]
-                rows.append((of[at], np.full(len(at), m, np.int32), phrase, n))
-            lang, m, phrase, n = zip(*rows)
-            cols = [pa.DictionaryArray.from_arrays(pa.array(np.concatenate(lang)), pa.array(names, pa.string())).cast(pa.string()), pa.array(np.concatenate(m))]
-            cols += [pa.array(itertools.chain(*phrase), pa.binary()).cast(pa.string()), pa.array(np.concatenate(n))]
-            yield pa.RecordBatch.from_arrays(cols, ["lang", "words", "phrase", "n"])
+                parts.append((digest[at], second, names[of[at]], np.full(len(at), m, np.int32), n, phrase))
+                size += len(at)
+            if size >= GATHERED:
+                yield gathered(parts)
+                parts, size = [], 0
+        if parts:
+            yield gathered(parts)
 
     return docs.mapInArrow(run, "lang string, words int, phrase string, n long").groupBy("lang", "words", "phrase").agg(F.sum("n").alias("n"))
 
@@ -251,13 +290,10 @@ def frequent(
     rows = docs.select(text, lang)
     sample = docs.filter(F.pmod(F.xxhash64(F.col(id_col), F.col(text_col)), F.lit(10_000)) < int(share * 10_000)).select(text, lang)
     proposals = [Proposal(counted(sample, longest, []).filter(F.col("n") >= sampled_least))]
-    known = None
-    while True:
-        found = stored(counted(rows, longest, proposals).filter(F.col("n") >= least), "frequent")
-        known = found if known is None else known.unionByName(found)
-        if not border_failures(found, proposals[-1]):
-            break
+    known = stored(counted(rows, longest, proposals).filter(F.col("n") >= least), "frequent")
+    if border_failures(known, proposals[0]):
         proposals.append(Proposal(known))
+        known = known.unionByName(stored(counted(rows, longest, proposals).filter(F.col("n") >= least), "frequent"))
     proposals.append(Proposal(known))
     found = stored(as_text(rows, longest, proposals[-1]).filter((F.col("n") >= least) | (F.col("words") == 0)), "phrases")
     for p in proposals:
