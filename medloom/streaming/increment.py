@@ -172,6 +172,8 @@ def start_day_tables(
 
 def expire_days(buffer: KeyedTable, age: str) -> int:
     """Remove the days that lie further back than `age` before the newest one; returns how many."""
+    if not buffer.exists():
+        return 0
     newest = max(buffer.parts())
     before = buffer.spark.range(1).select(F.floor((F.lit(newest) * 86400 - F.unix_seconds(F.lit(0).cast("timestamp") + F.expr(f"INTERVAL {age}"))) / 86400))
     return buffer.expire(before.first()[0])
