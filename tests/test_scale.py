@@ -4,6 +4,10 @@ from __future__ import annotations
 
 import os
 
+from conftest import rows
+
+from medloom.plans import laboratory
+from medloom.plans.reports import Reports
 from oracle import spark_record
 
 SF = "/root/testdata/sf0.001"
@@ -16,3 +20,27 @@ def test_staging_deals_orders_out_by_their_number(spark, tmp_path, monkeypatch):
     root = spark_record.stage(spark, str(tmp_path / "sf")).removeprefix("file:")
     files = [f for f in os.listdir(f"{root}/obs") if f.startswith("part-")]
     assert len(files) > spark.sparkContext.defaultParallelism and len(files) == -(-orders // 100)
+
+
+def _lab(chart):
+    for pid in (1, 2):
+        chart.patient(pid)
+        chart.visit(pid, pid, "2001-08-01", "lab")
+        chart.obs(pid, 1271, 856)
+        chart.obs(pid, 856, number=5.0)
+        chart.obs(pid, 1305, 1301)
+
+
+def test_results_of_tests_never_ordered_are_not_shuffled(spark, chart, monkeypatch):
+    _lab(chart)
+    rec = chart.record(spark)
+    run = Reports(rec, "2001-08-01")
+    orders = run.table("laboratory_order")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = laboratory.laboratory_results(rec, orders)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" in plan  # before the exchange by encounter and test
+    assert rows(found, "encounter_id", "test_id", "test_result") == [(1, 856, "5"), (2, 856, "5")]
