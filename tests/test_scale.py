@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import os
 
 from conftest import rows
 
-from medloom.plans import laboratory
+from medloom.plans import increment as inc, laboratory
 from medloom.plans.reports import Reports
+from medloom.sources.warehouse import Warehouse
+from medloom.streaming import increment as stream
 from oracle import spark_record
 
 SF = "/root/testdata/sf0.001"
@@ -44,3 +47,39 @@ def test_results_of_tests_never_ordered_are_not_shuffled(spark, chart, monkeypat
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "BroadcastHashJoin" in plan  # before the exchange by encounter and test
     assert rows(found, "encounter_id", "test_id", "test_result") == [(1, 856, "5"), (2, 856, "5")]
+
+
+def _state(full):
+    return {n: full.table(n) for n in ("patient", "patient_laboratory", "virological_tests", "patient_dispensing", "patient_on_arv",
+                                       "discontinuation_reason", "status_history", "regimens")}
+
+
+def test_a_table_of_the_day_makes_only_what_it_needs(spark, chart):
+    _lab(chart)
+    rec, after = chart.record(spark), Warehouse(spark)
+    full = Reports(rec, "2001-08-01")
+    day = inc.Day(rec, "2001-08-01", full.table, after.write).start(inc.obs_of_day(rec.obs, "2001-08-01"))
+    assert day.table("patient").count() == 2 and day.done == ["patient"] and "statuses_of_day" not in after
+    assert "encounter_context" not in full.warehouse and "patient" in full.warehouse
+    state, whole = _state(full), Warehouse(spark)
+    every = inc.Day(rec, "2001-08-01", state.get, whole.write)
+    every.run(inc.obs_of_day(rec.obs, "2001-08-01"))
+    assert every.done == inc.TABLES
+    for name in ("patient_laboratory", "status_history"):
+        cols = whole.read(name).columns
+        assert sorted(map(str, day.table(name).select(*cols).collect())) == sorted(map(str, whole.read(name).select(*cols).collect()))
+
+
+def test_a_stream_brings_the_named_tables_up_to_date(spark, chart, tmp_path):
+    _lab(chart)
+    rec, store = chart.record(spark), Warehouse(spark)
+    full = Reports(rec.replace(obs=rec.obs.limit(0)), "2001-08-01")
+    assert inc.state_of(["patient_laboratory"]) == ["patient_laboratory"]
+    store.write("patient_laboratory", full.table("patient_laboratory"))
+    rec.obs.coalesce(1).write.parquet(str(tmp_path / "in"))
+    arriving = spark.readStream.schema(rec.obs.schema).parquet(str(tmp_path / "in"))
+    stream.start_increment(
+        arriving, rec, store, str(tmp_path / "cp"), days=lambda batch: [dt.date(2001, 8, 1)], available_now=True, names=["patient_laboratory"]
+    ).awaitTermination()
+    assert rows(store.read("patient_laboratory"), "encounter_id", "test_result") == [(1, "5"), (2, "5")]
+    assert "statuses_of_day" not in store
