@@ -7,7 +7,7 @@ import os
 
 from conftest import rows
 
-from medloom.plans import increment as inc, laboratory
+from medloom.plans import delta, increment as inc, laboratory
 from medloom.plans.reports import Reports
 from medloom.sources.warehouse import Warehouse
 from medloom.streaming import increment as stream
@@ -83,3 +83,22 @@ def test_a_stream_brings_the_named_tables_up_to_date(spark, chart, tmp_path):
     ).awaitTermination()
     assert rows(store.read("patient_laboratory"), "encounter_id", "test_result") == [(1, "5"), (2, "5")]
     assert "statuses_of_day" not in store
+
+
+def test_a_day_over_affected_patients_keeps_only_what_leads_to_the_named_tables(spark, chart, tmp_path):
+    _lab(chart)
+    rec = chart.record(spark)
+    full = Reports(rec.replace(obs=rec.obs.limit(0)), "2001-07-31")
+    assert delta.read_by(["patient_laboratory"]) == ["patient_laboratory"] and delta.led_by(["statuses"]) == [
+        "patient", "patient_laboratory", "infants", "standing", "statuses"]
+    tables = delta.DayTables(rec, str(tmp_path / "d"), delta.width_for(rec.patient), ["patient_laboratory"])
+    tables.start({"patient_laboratory": full.table("patient_laboratory")}, None, dt.date(2001, 7, 31))
+    tables.run(inc.obs_of_day(rec.obs, "2001-08-01"), "2001-08-01")
+    assert rows(tables.table["patient_laboratory"].read(), "encounter_id", "test_result") == [(1, "5"), (2, "5")]
+    kept = {p.name for p in (tmp_path / "d").iterdir()}
+    assert kept == {"source_encounter", "source_visit", "patient_laboratory", "day", "run"}
+
+
+def test_ranges_follow_the_number_of_patients(spark):
+    ids = lambda n: spark.range(1, n + 1).withColumnRenamed("id", "patient_id")
+    assert [delta.width_for(ids(n)) for n in (0, 1, 24, 15_000, 10_000_000)] == [1, 1, 1, 625, 30_000]
