@@ -102,3 +102,19 @@ def test_a_day_over_affected_patients_keeps_only_what_leads_to_the_named_tables(
 def test_ranges_follow_the_number_of_patients(spark):
     ids = lambda n: spark.range(1, n + 1).withColumnRenamed("id", "patient_id")
     assert [delta.width_for(ids(n)) for n in (0, 1, 24, 15_000, 10_000_000)] == [1, 1, 1, 625, 30_000]
+
+
+def test_a_day_over_affected_patients_keeps_the_observations_its_rules_read(spark, chart, tmp_path):
+    _lab(chart)
+    chart.patient(3, "2001-01-01")
+    for vid, when in ((31, "2001-07-01"), (32, "2001-08-01")):
+        chart.visit(vid, 3, when, "ped_first_hiv")
+        chart.obs(vid, 1401, 1405, created=f"{when}T10:00:00")
+        chart.obs(vid, 5089, number=7.0, created=f"{when}T10:00:00")
+    rec, today = chart.record(spark), dt.date(2001, 8, 1)
+    before = Reports(rec.replace(obs=rec.obs.filter("date_created < '2001-08-01'")), "2001-07-31")
+    tables = delta.DayTables(rec, str(tmp_path / "d"), 10, ["infants"])
+    tables.start({n: before.table(n) for n in tables.reports}, None, dt.date(2001, 7, 31))
+    tables.run(inc.obs_of_day(rec.obs, today), today)
+    assert rows(tables.source["obs"].read(), "encounter_id", "concept_id") == [(31, 1401), (32, 1401)]
+    assert rows(tables.table["infants"].read(), "patient_id", "encounter_id", "condition") == [(3, 31, 3), (3, 32, 3)]
