@@ -6,8 +6,10 @@ import datetime as dt
 import os
 
 from conftest import rows
+from pyspark.sql import functions as F
 
-from medloom.plans import delta, increment as inc, laboratory
+from medloom.operators import match
+from medloom.plans import delta, increment as inc, laboratory, surveillance
 from medloom.plans.reports import Reports
 from medloom.sources.warehouse import Warehouse
 from medloom.streaming import increment as stream
@@ -118,3 +120,34 @@ def test_a_day_over_affected_patients_keeps_the_observations_its_rules_read(spar
     tables.run(inc.obs_of_day(rec.obs, today), today)
     assert rows(tables.source["obs"].read(), "encounter_id", "concept_id") == [(31, 1401), (32, 1401)]
     assert rows(tables.table["infants"].read(), "patient_id", "encounter_id", "condition") == [(3, 31, 3), (3, 32, 3)]
+
+
+def test_observations_that_head_no_diagnosis_are_not_shuffled(spark, chart):
+    chart.patient(1)
+    chart.visit(1, 1, "2001-07-01", "adult_initial")
+    for concept in (159947, 165210):
+        head = chart.obs(1, concept)
+        chart.obs(1, 1284, 142473, group=head)
+    for n in range(50):
+        chart.obs(1, 5089, number=float(n))
+    rec = chart.record(spark)
+    run = Reports(rec, "2001-08-01")
+    answers = run.table("diagnosis_answer")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = surveillance.patient_diagnosis(rec, answers)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan  # the bitmap, before the exchange by group
+        assert rows(found, "concept_group", "answer_concept_id") == [(159947, 142473), (165210, 142473)]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_rows_that_may_match_hold_all_that_do(spark, monkeypatch):
+    asked = spark.range(0, 100_000, 50).select(F.col("id").alias("k")).unionByName(spark.sql("SELECT CAST(NULL AS BIGINT) AS k"))
+    found = match.may_match(spark.range(100_000), "id", asked, "k")
+    assert found.join(asked, F.col("id") == F.col("k"), "left_semi").count() == 2000 and found.count() < 20_000
+    assert match.may_match(spark.range(100), "id", asked.limit(0), "k").count() == 0
+    monkeypatch.setattr(match, "MOST_WORDS", match.WORDS_A_ROW)  # a bitmap that is far too full
+    full = match.may_match(spark.range(1_000_000), "id", spark.range(1_000_000), "id")
+    assert full.count() == 1_000_000
