@@ -163,6 +163,24 @@ def test_removed_drug_is_voided(spark, chart):
     assert rows(run(spark, chart, "patient_dispensing"), "drug_id", "voided") == [(LAMIVUDINE, 0), (TDF, 1)]
 
 
+def test_only_groups_with_fewer_than_two_known_live_members_are_looked_up(spark, chart):
+    chart.patient(1)
+    heads = {}
+    for visit, name in enumerate(("removed", "detailed", "other member", "two drugs", "detail elsewhere"), 1):
+        chart.visit(visit, 1, f"2001-05-0{visit}", "dispensing")
+        heads[name] = chart.obs(visit, 163711)
+        chart.obs(visit, 1282, TDF, group=heads[name])
+        chart.obs(visit, 1276, group=heads[name], voided=int(name != "detailed"))
+    chart.obs(3, 5089, number=1.0, group=heads["other member"])
+    chart.obs(4, 1282, LAMIVUDINE, group=heads["two drugs"])
+    chart.obs(1, 1443, number=1.0, group=heads["detail elsewhere"])  # of another encounter: does not count
+    reports = Reports(chart.record(spark), "2001-08-01")
+    looked_up = sorted(heads[n] for n in ("removed", "other member", "detail elsewhere"))
+    assert rows(reports.table("doubtful_group"), "obs_group_id") == [(h,) for h in looked_up]
+    gone = sorted(heads[n] for n in ("removed", "detail elsewhere"))
+    assert rows(reports.table("removed_group"), "obs_group_id") == [(h,) for h in gone]
+
+
 def test_pregnancy_end_takes_the_next_due_date(spark, chart):
     chart.patient(1)
     chart.visit(1, 1, "2001-01-01", "first_hiv")
