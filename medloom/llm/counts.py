@@ -47,6 +47,7 @@ class PieceRanks:
         self.byte_id = {int(p.piece[3:5], 16): i for i, p in enumerate(model.pieces) if p.type == 6}
         self.byte_values = {i: b for b, i in self.byte_id.items()}
         self.piece = [p.piece for p in model.pieces]
+        self.decimal = [str(i) for i in range(len(self.piece))]
         #: Neighbouring characters that some piece holds: between any others, nothing ever merges.
         self.pairs = {p[i:i + 2] for p in self.rank for i in range(len(p) - 1)}
         self.by_word = not any(MARK in p.lstrip(MARK) for p in self.rank)

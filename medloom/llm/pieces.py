@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import hashlib
 import heapq
+import itertools
 import string
 
 import pyarrow as pa
@@ -123,10 +124,10 @@ class Words:
         self._encode(list(new.values()), [])  # a word with each new end is checked whole
         for end in new:
             ids = encode_word(end, ranks)
-            self.ends[end] = (",".join(map(str, ids)), len(ids), decode_ids(ids, ranks))
+            self.ends[end] = (",".join([ranks.decimal[i] for i in ids]), decode_ids(ids, ranks))
         for w, stem, end in split:
-            (a, n, s), (b, m, t) = now[stem], self.ends[end]
-            whole = (f"{a},{b}", n + m, s + t)
+            (a, s), (b, t) = now[stem], self.ends[end]
+            whole = (f"{a},{b}", s + t)
             if end in new and new[end] == w and self.checked.pop(w) != whole:
                 raise AssertionError(f"differs when cut: {w!r}")
             now[w] = whole
@@ -138,13 +139,25 @@ class Words:
         ranks, into = self.ranks, self.now if keep else self.checked
         ids = [encode_word(w, ranks) for w in words]
         texts = [decode_ids(i, ranks) for i in ids]
+        self._check(words, ids, texts)
+        for w, mine, text in zip(words, ids, texts):
+            into[w] = (",".join([ranks.decimal[i] for i in mine]), text)
+
+    def _check(self, words: list[str], ids: list[list[int]], texts: list[str]) -> None:
+        """Hold ids and texts against the library: ids word by word, texts in one run, and each by itself if that differs."""
+        library = self.ranks.library
         # The library adds no mark to an empty text, so it is not asked about a lone mark.
-        theirs = ranks.library.encode([w[1:].replace(MARK, " ") for w in words], num_threads=1)
-        back = ranks.library.decode(theirs)
-        for w, mine, text, other, decoded in zip(words, ids, texts, theirs, back):
-            if (mine != other or unmarked(text) != decoded) and w != MARK:
+        asked = [x for x in zip(words, ids, texts) if x[0] != MARK]
+        if not asked:
+            return
+        words, ids, texts = map(list, zip(*asked))
+        theirs = library.encode([w[1:].replace(MARK, " ") for w in words], num_threads=1)
+        # Every word starts with its mark, so that decoding all in one run only joins their texts.
+        if ids == theirs and library.decode(list(itertools.chain.from_iterable(ids))) == unmarked("".join(texts)):
+            return
+        for w, mine, text, other, decoded in zip(words, ids, texts, theirs, library.decode(theirs)):
+            if mine != other or unmarked(text) != decoded:
                 raise AssertionError(f"differs from the library on {w!r}: {mine} and {other}")
-            into[w] = (",".join(map(str, mine)), len(mine), text)
 
 
 _WORDS: dict[str, Words] = {}
@@ -165,9 +178,9 @@ def encode_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
             known = memory.now
             n, joined, decoded = [], [], []
             for ws in words:
-                ids, count, text = zip(*map(known.__getitem__, ws)) if ws else ((), (), ())
-                n.append(sum(count))
+                ids, text = zip(*map(known.__getitem__, ws)) if ws else ((), ())
                 joined.append(",".join(ids))
+                n.append(joined[-1].count(",") + 1 if ws else 0)
                 decoded.append(unmarked("".join(text)))
             sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
             cols = [b["doc_id"], pa.array(n, pa.int64()), pa.array(map(sha, joined), pa.string()), pa.array(map(sha, decoded), pa.string())]

@@ -41,6 +41,33 @@ def sha(data):
     return hashlib.sha256(data if isinstance(data, bytes) else data.encode()).hexdigest()
 
 
+def test_pieces_are_decoded_in_one_run_and_each_by_itself_on_a_difference():
+    ranks = counts.PieceRanks(PIECES)
+    library, asked = ranks.library, []
+
+    class Spy:
+        encode = staticmethod(library.encode)
+
+        @staticmethod
+        def decode(ids):
+            asked.append(ids)
+            return library.decode(ids)
+
+    ranks.library = Spy
+    new = ["▁one", "▁▁two\n", "▁\u0001é", "▁", "▁three"]
+    words = pieces.Words(ranks)
+    words.learn(set(new))
+    assert "".join(words.now[w][1] for w in new) == "".join(new)
+    assert len(asked) == 1 and all(isinstance(i, int) for i in asked[0])  # not a list for every word
+    checked = [w for w in new if w != "▁"]
+    ids = [pieces.encode_word(w, ranks) for w in checked]
+    words._check(checked, ids, checked)
+    with pytest.raises(AssertionError, match="two"):
+        words._check(checked, ids, ["▁one", "▁▁too", *checked[2:]])
+    with pytest.raises(AssertionError, match="three"):
+        words._check(checked, [*ids[:3], ids[0]], checked)
+
+
 def test_pieces_and_counts_equal_the_library(spark, docs):
     rows, lib = ODD + prose(60, 1), SentencePieceProcessor(model_file=PIECES)
     coded, counted = by_id(pieces.encode_decode(docs(rows), PIECES, with_ids=True)), by_id(counts.token_counts(docs(rows), PIECES, limit=50))
