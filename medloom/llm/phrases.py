@@ -11,12 +11,17 @@ frequent only if its beginning and its end, one word less each, are, so
    proposal, and an expansion pass counts what has come within the border since. A phrase that no pass has
    counted may be frequent, so what it encloses with others is counted along with it, level by level in the
    same pass: that closes the border, and no frequent phrase is left out, whatever the sample was;
-4. a last pass counts the frequent phrases word by word, as text.
+4. a last pass cuts the text of each frequent phrase out of about one document that holds it, not out of one in
+   every task: beside its count, a phrase carries the greatest mark of its documents, and only documents with
+   that mark give its text. A mark is the number of leading zeros of a hash of id and text, so that few documents
+   share the greatest one, however many there are.
 
 Passes 1 to 3 name a phrase by a 64-bit digest that is summed up in each task before it is shuffled. Two
-phrases with one digest can only make a phrase look frequent; the last pass counts texts and drops it. A
-proposal reaches the tasks as a bitmap with two places a phrase, of 16 bits a phrase and `BITS` bits (32 MB) at
-most, however large the corpus; places taken by others only let more phrases be counted than needed.
+phrases with one digest count as one there. So a second digest is summed up beside the count (modulo a prime):
+if that sum is not the count times the second digest of the text found, or if there are several texts, all
+phrases of that digest are counted anew, as text. A proposal reaches the tasks as a bitmap with two places a
+phrase, of 16 bits a phrase and `BITS` bits (32 MB) at most, however large the corpus; places taken by others
+only let more phrases be counted than needed. The marks reach the last pass as such a bitmap of digest and mark.
 
 Candidates are the frequent phrases of two words and more. The score of a cut is floor(scale * a / (l + r)),
 the score of a candidate that of its lowest cut (ties: after the fewest words); arithmetic is decimal. A
@@ -43,7 +48,7 @@ from medloom.llm.common import prepare, stored
 #: Places of a bitmap at most; bytes of text that a task looks at together; share of the documents in the sample.
 BITS, CHUNK, SHARE, SAMPLED_LEAST = 1 << 28, 1 << 20, 0.1, 2
 #: Digests that a task sums up together, and phrases.
-SUMMED, GATHERED = 2_000_000, 1_000_000
+SUMMED, GATHERED = 1_000_000, 1_000_000
 #: Parts that a language's candidates are ranked in before the best ones of each part meet.
 PARTS = 64
 
@@ -131,9 +136,13 @@ class Words:
         a, z = self.begin[start], self.stop[start + m - 1]
         return (self.sums[z] - self.sums[a]) % _PRIME * down[a] % _PRIME
 
+    def proof(self, start: np.ndarray, m: int) -> np.ndarray:
+        """That digest, of their language."""
+        return (self.second(start, m) + self.salt[start] + np.uint64(m)) % _PRIME
+
 
 def runs(batch: pa.RecordBatch):
-    """(Words, language number of each word, language names) of a batch, some MB of text at a time."""
+    """(Words, language number of each word, language names, seeds) of a batch, some MB of text at a time."""
     from xxhash import xxh64_intdigest
 
     if not batch.num_rows:
@@ -145,6 +154,7 @@ def runs(batch: pa.RecordBatch):
     data = np.frombuffer(data, np.uint8)[at[0]:at[-1]]
     at -= at[0]
     lang, names = names.indices.to_numpy(), names.dictionary.to_pylist()
+    mark = batch["mark"].to_numpy().astype(np.uint8) if "mark" in batch.schema.names else None
     seeds = np.array([xxh64_intdigest(x) for x in names], np.uint64)
     ends = np.flatnonzero(_KIND[data] == 2) + 1
     pos = 0
@@ -153,19 +163,21 @@ def runs(batch: pa.RecordBatch):
         end = ends[k - 1] if k and ends[k - 1] > pos else ends[k]  # a longer piece stays whole
         words = Words(data[pos:end])
         if len(words.start):
-            of = lang[np.searchsorted(at, words.start + pos, side="right") - 1]
+            doc = np.searchsorted(at, words.start + pos, side="right") - 1
+            of = lang[doc]
+            words.salt, words.mark = mixed(seeds)[of] % _PRIME, None if mark is None else mark[doc]
             yield words, of, names, seeds[of]
         pos = end
 
 
 class Proposal:
-    """A set of digests as a bitmap with two places for each."""
+    """A set of digests as a bitmap with some places for each, named by the bit of the digest that they begin at."""
 
-    def __init__(self, keys: DataFrame):
-        spark, keys = keys.sparkSession, stored(keys.select("key"), "proposed")
-        self.size = min(BITS, 1 << max(15, (16 * keys.count() - 1).bit_length()))
+    def __init__(self, keys: DataFrame, places: tuple[int, ...] = (0, 32), bits: int = 16):
+        spark, keys, self.places = keys.sparkSession, stored(keys.select("key"), "proposed"), places
+        self.size = min(BITS, 1 << max(15, (bits * keys.count() - 1).bit_length()))
         place = lambda c: c.bitwiseAND(F.lit(self.size - 1)) + 1
-        at = keys.select(F.explode(F.array(place(F.col("key")), place(F.shiftrightunsigned("key", 32)))).alias("at"))
+        at = keys.select(F.explode(F.array(*[place(F.shiftrightunsigned("key", x)) for x in places])).alias("at"))
         # Dealt out by part of the bitmap first: a task then makes few parts, not all of them.
         dealt = at.select(F.bitmap_bucket_number("at").alias("k"), F.bitmap_bit_position("at").alias("bit")).repartition("k")
         bits = np.zeros((self.size // 32768, 4096), np.uint8)
@@ -174,17 +186,30 @@ class Proposal:
         self.bits = spark.sparkContext.broadcast(bits.ravel())
 
     def holds(self, digest: np.ndarray) -> np.ndarray:
-        bits, out = self.bits.value, None
-        last = np.uint64(self.size - 1)
-        for place in (digest & last, (digest >> np.uint64(32)) & last):
-            hit = bits[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8) & 1
-            out = hit if out is None else out & hit
-        return out.astype(bool)
+        bits, last = self.bits.value, np.uint64(self.size - 1)
+        out, left = np.zeros(len(digest), bool), np.arange(len(digest))
+        for x in self.places:
+            place = (digest[left] >> np.uint64(x)) & last
+            left = left[(bits[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8) & 1).astype(bool)]
+        out[left] = True
+        return out
+
+
+def marked(digest: np.ndarray, mark: np.ndarray) -> np.ndarray:
+    """Digests that differ by the marks of their documents too; `marked_keys` are the same in Spark."""
+    return digest ^ (mark * np.uint64(0x100010001))
+
+
+def marked_keys(known: DataFrame) -> DataFrame:
+    mark = F.col("mark").cast("long")
+    return known.select(F.col("key").bitwiseXOR(mark * F.lit(0x100010001)).alias("key"))
 
 
 def counted(docs: DataFrame, longest: int, proposals: list[Proposal]) -> DataFrame:
     """(key, n): occurrences of every phrase without proposals; with one, of its phrases and their border; with a
-    second one, the frequent phrases of that pass, of all that they and uncounted phrases enclose."""
+    second one, the frequent phrases of that pass, of all that they and uncounted phrases enclose. With proposals also
+    proof, a sum of the proofs of all occurrences, and the greatest mark of their documents."""
+    aims = {"proof": "long", "n": "long", "mark": "int"} if proposals else {"n": "long"}  # what varies least stands last, for compression
 
     def take(words: Words, digests: list[np.ndarray]):
         """Which phrases to count, by number of words."""
@@ -205,23 +230,35 @@ def counted(docs: DataFrame, longest: int, proposals: list[Proposal]) -> DataFra
                 if m < len(digests):
                     possible = np.where(before, held[1][m - 1], around)
 
-    def summed(parts: list[np.ndarray]) -> pa.RecordBatch:
-        key, n = np.unique(np.concatenate(parts), return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n)], ["key", "n"])
+    def summed(parts: list[tuple]) -> pa.RecordBatch:
+        key, *more = map(np.concatenate, zip(*parts))
+        if not more:
+            key, n = np.unique(key, return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n)], ["key", "n"])
+        order = np.argsort(key)
+        key = key[order]
+        first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+        proof = np.add.reduceat(more[0][order], first, dtype=np.uint64) % _PRIME
+        mark = np.maximum.reduceat(more[1][order], first)
+        cols = [key[first].view(np.int64), proof.astype(np.int64), np.diff(np.r_[first, len(key)]), mark.astype(np.int32)]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["key", *aims])
 
     def run(batches):
         parts, size = [], 0
         for words, _, _, seed in itertools.chain.from_iterable(map(runs, batches)):
             digests = words.digests(seed, longest)
-            parts.extend(d[t] for d, t in zip(digests, take(words, digests)))
-            size += sum(map(len, parts[-longest:]))
+            for m, (d, t) in enumerate(zip(digests, take(words, digests)), 1):
+                at = np.flatnonzero(t)
+                parts.append((d[at], words.proof(at, m).astype(np.uint32), words.mark[at]) if proposals else (d[at],))
+                size += len(at)
             if size >= SUMMED:
                 yield summed(parts)
                 parts, size = [], 0
-        if parts:
+        if size:
             yield summed(parts)
 
-    return docs.mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    rows = docs.mapInArrow(run, ", ".join(["key long", *(f"{c} {kind}" for c, kind in aims.items())]))
+    return rows.groupBy("key").agg(*[(F.max if c == "mark" else F.sum)(c).alias(c) for c in aims])
 
 
 def border_failures(found: DataFrame, proposal: Proposal) -> int:
@@ -234,21 +271,23 @@ def border_failures(found: DataFrame, proposal: Proposal) -> int:
     return found.select("key").filter("key % 2 = 0").mapInArrow(run, "key long").count()
 
 
-def as_text(docs: DataFrame, longest: int, proposal: Proposal) -> DataFrame:
-    """(lang, words, phrase, n): occurrences of the phrases that the proposal holds; with 0 words, those of all words of a language."""
+def as_text(docs: DataFrame, longest: int, proposal: Proposal, by_mark: bool = False) -> DataFrame:
+    """(key, proof, lang, words, phrase, n): occurrences of the phrases that the proposal holds (by mark: of those in documents
+    whose mark it holds with them); with 0 words, those of all words of a language."""
 
     def gathered(parts: list[tuple]) -> pa.RecordBatch:
-        digest, second, lang, m, n = (np.concatenate(x) for x in list(zip(*parts))[:5])
+        digest, proof, lang, m, n = (np.concatenate(x) for x in list(zip(*parts))[:5])
         phrase = np.array(list(itertools.chain.from_iterable(x[5] for x in parts)), dtype=object)
         _, first, group = np.unique(digest, return_index=True, return_inverse=True)
         # Unlike phrases with one digest are given back one by one.
         unlike = np.zeros(len(first), bool)
-        unlike[group[(second != second[first][group]) | (lang != lang[first][group]) | (m != m[first][group])]] = True
+        unlike[group[(proof != proof[first][group]) | (lang != lang[first][group]) | (m != m[first][group])]] = True
         total = np.zeros(len(first), np.int64)
         np.add.at(total, group, n)
         at, n = np.r_[first[~unlike], np.flatnonzero(unlike[group])], np.r_[total[~unlike], n[unlike[group]]]
-        cols = [pa.array(lang[at], pa.string()), pa.array(m[at]), pa.array(phrase[at], pa.binary()).cast(pa.string()), pa.array(n)]
-        return pa.RecordBatch.from_arrays(cols, ["lang", "words", "phrase", "n"])
+        cols = [pa.array(digest[at].view(np.int64)), pa.array(proof[at].astype(np.int64)), pa.array(lang[at], pa.string()), pa.array(m[at])]
+        cols += [pa.array(phrase[at], pa.binary()).cast(pa.string()), pa.array(n)]
+        return pa.RecordBatch.from_arrays(cols, ["key", "proof", "lang", "words", "phrase", "n"])
 
     def run(batches):
         parts, size = [], 0
@@ -260,16 +299,16 @@ def as_text(docs: DataFrame, longest: int, proposal: Proposal) -> DataFrame:
             text = words.close.tobytes()
             for m, digest in enumerate(words.digests(seed, longest), 1):
                 at = np.flatnonzero(words.phrases(m))
-                at = at[proposal.holds(digest[at])]
-                second = words.second(at, m)
+                at = at[proposal.holds(marked(digest[at], words.mark[at]) if by_mark else digest[at])]
+                proof = words.proof(at, m)
                 # Equal phrases of one run of texts count together here, so that each is cut out of it once.
                 order = np.argsort(digest[at])
-                at, second = at[order], second[order]
-                new = np.flatnonzero(np.r_[True, (digest[at][1:] != digest[at][:-1]) | (second[1:] != second[:-1]) | (of[at][1:] != of[at][:-1])][:len(at)])
+                at, proof = at[order], proof[order]
+                new = np.flatnonzero(np.r_[True, (digest[at][1:] != digest[at][:-1]) | (proof[1:] != proof[:-1]) | (of[at][1:] != of[at][:-1])][:len(at)])
                 n = np.diff(np.r_[new, len(at)])
-                at, second = at[new], second[new]
+                at, proof = at[new], proof[new]
                 phrase = [text[a:z] for a, z in zip(words.begin[at].tolist(), words.stop[at + m - 1].tolist())]
-                parts.append((digest[at], second, names[of[at]], np.full(len(at), m, np.int32), n, phrase))
+                parts.append((digest[at], proof, names[of[at]], np.full(len(at), m, np.int32), n, phrase))
                 size += len(at)
             if size >= GATHERED:
                 yield gathered(parts)
@@ -277,7 +316,17 @@ def as_text(docs: DataFrame, longest: int, proposal: Proposal) -> DataFrame:
         if parts:
             yield gathered(parts)
 
-    return docs.mapInArrow(run, "lang string, words int, phrase string, n long").groupBy("lang", "words", "phrase").agg(F.sum("n").alias("n"))
+    by = ["key", "proof", "lang", "words", "phrase"]
+    return docs.mapInArrow(run, "key long, proof long, lang string, words int, phrase string, n long").groupBy(*by).agg(F.sum("n").alias("n"))
+
+
+def named(known: DataFrame, texts: DataFrame) -> DataFrame:
+    """`known` digests with the text of each and whether it is surely the text of all their occurrences."""
+    text = F.struct("proof", "lang", "words", "phrase")
+    found = texts.filter("words > 0").groupBy("key").agg(F.min(text).alias("text"), F.max(text).alias("other"))
+    prime = F.lit(int(_PRIME))
+    same = (F.col("text") == F.col("other")) & (F.pmod("n", prime) * F.col("text.proof") % prime == F.pmod("proof", prime))
+    return known.join(found, "key", "left").select("key", "n", "text.lang", "text.words", "text.phrase", F.coalesce(same, F.lit(False)).alias("sure"))
 
 
 def frequent(
@@ -287,15 +336,23 @@ def frequent(
     prepare(docs.sparkSession)
     text = F.concat(F.coalesce(F.col(text_col), F.lit("")), F.lit("\n")).alias("text")  # a piece ends with its text
     lang = F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang")
-    rows = docs.select(text, lang)
-    sample = docs.filter(F.pmod(F.xxhash64(F.col(id_col), F.col(text_col)), F.lit(10_000)) < int(share * 10_000)).select(text, lang)
+    hashed = F.xxhash64(F.col(id_col), F.col(text_col))
+    rows = docs.select(text, lang, (32 - F.length(F.bin(F.shiftrightunsigned(hashed, 32)))).cast("int").alias("mark"))
+    sample = docs.filter(F.pmod(hashed, F.lit(10_000)) < int(share * 10_000)).select(text, lang)
     proposals = [Proposal(counted(sample, longest, []).filter(F.col("n") >= sampled_least))]
     known = stored(counted(rows, longest, proposals).filter(F.col("n") >= least), "frequent")
     if border_failures(known, proposals[0]):
         proposals.append(Proposal(known))
         known = known.unionByName(stored(counted(rows, longest, proposals).filter(F.col("n") >= least), "frequent"))
-    proposals.append(Proposal(known))
-    found = stored(as_text(rows, longest, proposals[-1]).filter((F.col("n") >= least) | (F.col("words") == 0)), "phrases")
+    proposals.append(Proposal(marked_keys(known), (0, 16, 32), 32))
+    texts = stored(as_text(rows, longest, proposals[-1], by_mark=True), "texts")
+    phrases = stored(named(known, texts), "phrases")
+    found = phrases.filter("sure").unionByName(texts.filter("words = 0"), allowMissingColumns=True).select("lang", "words", "phrase", "n")
+    doubtful = phrases.filter("NOT sure").select("key").distinct()
+    if not doubtful.isEmpty():
+        proposals.append(Proposal(doubtful))
+        again = as_text(rows, longest, proposals[-1]).filter((F.col("n") >= least) & (F.col("words") > 0)).join(doubtful, "key", "left_semi")
+        found = found.unionByName(stored(again.select(found.columns), "phrases"))
     for p in proposals:
         p.bits.destroy()
     return found

@@ -6,7 +6,9 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
+from pyspark.sql import functions as F
 
 from medloom.llm import phrases
 
@@ -49,6 +51,67 @@ def test_any_sample_gives_every_phrase(spark, share, sampled):
     assert {(r["lang"], r["rank"]): (r["phrase"].encode(), r["a"], r["l"], r["r"], r["n"], r["score"]) for r in got} == brute(rows, 6, 4, 40)
 
 
+@pytest.mark.parametrize("parts", [1, 24])
+def test_a_text_is_cut_out_of_few_tasks(spark, monkeypatch, parts):
+    """However many tasks hold a frequent phrase, about one row gives its text."""
+    rows = [(i, f"the river walks a blue stone. {VOCAB[i % 12]} of {VOCAB[i // 12 % 12]}", "en") for i in range(600)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(parts, "doc_id")
+    made, plain = [], type(df).mapInArrow
+
+    def counting(self, func, schema, *args, **options):
+        if "phrase string" not in schema:
+            return plain(self, func, schema, *args, **options)
+        made.append(spark.sparkContext.accumulator(0))
+        total = made[-1]
+
+        def run(batches):
+            for b in func(batches):
+                total.add(b.filter(pc.greater(b["words"], 0)).num_rows)
+                yield b
+
+        return plain(self, run, schema, *args, **options)
+
+    monkeypatch.setattr(type(df), "mapInArrow", counting)
+    found = phrases.frequent(df, 30, 4)
+    n = found.filter("words > 0").count()
+    assert n > 30 and n <= sum(x.value for x in made) < 3 * n
+
+
+def test_phrases_of_one_digest_are_counted_apart(spark, monkeypatch):
+    """As if another phrase, counted with them, had the digest of each third phrase, and as if the text of some were not found."""
+    rows, plain = corpus(150, 3), phrases.counted
+
+    def collided(docs, longest, proposals):
+        out = plain(docs, longest, proposals)
+        if not proposals:
+            return out
+        hit, lost = F.col("key") % 3 == 0, F.col("key") % 5 == 1
+        return out.select("key", (F.col("n") + F.when(hit, 4).otherwise(0)).alias("n"), (F.col("proof") + F.when(hit, 12345).otherwise(0)).alias("proof"),
+                          F.when(lost, 40).otherwise(F.col("mark")).cast("int").alias("mark"))
+
+    monkeypatch.setattr(phrases, "counted", collided)
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5)
+    got = phrases.collocations(df, least=6, top=40).collect()
+    assert {(r["lang"], r["rank"]): (r["phrase"].encode(), r["a"], r["l"], r["r"], r["n"], r["score"]) for r in got} == brute(rows, 6, 4, 40)
+
+
+def test_two_texts_of_a_digest_are_doubtful(spark):
+    known = spark.createDataFrame([(1, 6, 42, 0), (2, 6, 42, 0), (3, 6, 41, 0), (4, 6, 42, 0)], "key long, n long, proof long, mark int")
+    texts = spark.createDataFrame(
+        [(1, 7, "en", 1, "a", 2), (2, 7, "en", 1, "b", 2), (2, 7, "fr", 1, "b", 1), (3, 7, "en", 1, "c", 2), (9, 0, "en", 0, "", 9)],
+        "key long, proof long, lang string, words int, phrase string, n long",
+    )
+    got = {r["key"]: (r["n"], r["phrase"], r["sure"]) for r in phrases.named(known, texts).collect()}
+    assert got[1] == (6, "a", True) and not any(got[k][2] for k in (2, 3, 4)) and len(got) == 4
+
+
+def test_marks_are_the_same_in_spark(spark):
+    keys, marks = np.array([1, -1, 1 << 62, -(1 << 63) + 12345], np.int64), np.array([0, 1, 31, 17], np.uint8)
+    df = spark.createDataFrame(list(zip(keys.tolist(), marks.tolist())), "key long, mark int")
+    got = [r["key"] for r in phrases.marked_keys(df).collect()]
+    assert got == phrases.marked(keys.view(np.uint64), marks).view(np.int64).tolist()
+
+
 def test_empty_tables_give_nothing(spark):
     df = spark.createDataFrame([], "doc_id long, text string, lang string")
     assert phrases.collocations(df).count() == 0
