@@ -19,7 +19,7 @@ frequent only if its beginning and its end, one word less each, are, so
 Passes 1 to 3 name a phrase by a 64-bit digest that is summed up in each task before it is shuffled. Two
 phrases with one digest count as one there. So a second digest is summed up beside the count (modulo a prime):
 if that sum is not the count times the second digest of the text found, or if there are several texts, all
-phrases of that digest are counted anew, as text. A proposal reaches the tasks as a bitmap with two places a
+phrases of that digest are counted anew, as text; two alike in both digests count as one. A proposal reaches the tasks as a bitmap with two places a
 phrase, of 16 bits a phrase and `BITS` bits (32 MB) at most, however large the corpus; places taken by others
 only let more phrases be counted than needed. The marks reach the last pass as such a bitmap of digest and mark.
 
@@ -46,7 +46,7 @@ from pyspark.sql.window import Window
 from medloom.llm.common import prepare, stored
 
 #: Places of a bitmap at most; bytes of text that a task looks at together; share of the documents in the sample.
-BITS, CHUNK, SHARE, SAMPLED_LEAST = 1 << 28, 1 << 20, 0.1, 2
+BITS, CHUNK, SHARE, SAMPLED_LEAST = 1 << 28, 1 << 18, 0.1, 2
 #: Digests that a task sums up together, and phrases.
 SUMMED, GATHERED = 1_000_000, 1_000_000
 #: Parts that a language's candidates are ranked in before the best ones of each part meet.
