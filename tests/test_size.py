@@ -5,7 +5,9 @@ from __future__ import annotations
 import os
 
 import pyarrow.parquet as pq
+from pyspark.sql import functions as F
 
+from medloom.sources.warehouse import Warehouse
 from oracle import spark_record
 
 SF = "/root/testdata/sf0.001"
@@ -22,3 +24,25 @@ def test_staged_observations_are_in_order_and_stored_as_differences(spark, tmp_p
         group = pq.ParquetFile(f).metadata.row_group(0)
         kinds = {group.column(i).path_in_schema: group.column(i).encodings for i in range(group.num_columns)}
         assert all("DELTA_BINARY_PACKED" in kinds[c] for c in ("obs_id", "encounter_id"))
+
+
+def test_a_table_is_broadcast_by_the_size_of_its_rows(spark):
+    store = Warehouse(spark)
+    small = store.write("small", spark.range(1000).withColumn("v", F.rand(1)))
+    large = store.write("large", spark.range(500_000).withColumn("v", F.rand(1)))  # 4 MB stored, 12 MB and more as rows
+
+    def plan(table):
+        other = store.write("other", spark.range(2_000_000).withColumn("w", F.rand(2)))
+        return other.join(table, "id")._jdf.queryExecution().sparkPlan().toString()
+
+    assert "BroadcastHashJoin" in plan(small) and "BroadcastHashJoin" not in plan(large)
+
+
+def test_a_factor_of_the_session_stays(spark):
+    factor = "spark.sql.sources.fileCompressionFactor"
+    spark.conf.set(factor, "3.0")
+    try:
+        Warehouse(spark)
+        assert spark.conf.get(factor) == "3.0"
+    finally:
+        spark.conf.unset(factor)
