@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import os
 
 import pyarrow.parquet as pq
+from conftest import rows
 from pyspark.sql import functions as F
 
+from medloom.plans.reports import Reports
 from medloom.sources.warehouse import Warehouse
+from medloom.streaming import increment as stream
 from oracle import spark_record
 
 SF = "/root/testdata/sf0.001"
@@ -46,3 +50,27 @@ def test_a_factor_of_the_session_stays(spark):
         assert spark.conf.get(factor) == "3.0"
     finally:
         spark.conf.unset(factor)
+
+
+def test_a_batch_runs_its_day_once_with_state_outside_the_heap(spark, chart, tmp_path):
+    for pid in (1, 2):
+        chart.patient(pid)
+        chart.visit(pid, pid, "2001-08-01", "lab")
+        chart.obs(pid, 1271, 856)
+        chart.obs(pid, 856, number=5.0)
+    rec, store, asked = chart.record(spark), Warehouse(spark), []
+    store.write("patient_laboratory", Reports(rec.replace(obs=rec.obs.limit(0)), "2001-08-01").table("patient_laboratory"))
+    rec.obs.coalesce(1).write.parquet(str(tmp_path / "in"))
+    arriving = spark.readStream.schema(rec.obs.schema).parquet(str(tmp_path / "in"))
+    kept = {key: spark.conf.get(key, None) for key in stream.STATE}
+
+    def days(batch):
+        asked.append(batch.count())
+        return [dt.date(2001, 8, 1)]
+
+    query = stream.start_increment(arriving, rec, store, str(tmp_path / "cp"), days=days, available_now=True, names=["patient_laboratory"])
+    query.awaitTermination()
+    assert asked == [4]  # no second run without rows once the watermark has moved
+    assert any(name.startswith("rocksdb") for name in query.lastProgress["stateOperators"][0]["customMetrics"])
+    assert {key: spark.conf.get(key, None) for key in stream.STATE} == kept
+    assert rows(store.read("patient_laboratory"), "encounter_id", "test_result") == [(1, "5"), (2, "5")]
